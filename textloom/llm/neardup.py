@@ -29,6 +29,8 @@ SEGMENTS, SYMBOLS, ROUNDS = 10, 7, 5
 SKETCH = 28  # symbols whose low two bits go into the one-word sketch that travels with every key
 #: The complete distances allowed are this many standard deviations beyond the expectation at the threshold.
 SIGMAS = 4.0
+#: Ids of paired texts are broadcast up to this number (16 bytes each), joined by shuffle beyond it.
+BROADCAST_IDS = 1_000_000
 
 
 def _stripped(texts: list[str | None]) -> np.ndarray:
@@ -203,7 +205,9 @@ class NearDuplicates:
     def links(self) -> DataFrame:
         """(a, b, similarity): all met pairs of different texts at or above the threshold, verified exactly."""
         pairs = materialize(self.candidates(), "p5-pairs")
-        wanted = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+        if 2 * pairs.count() <= BROADCAST_IDS:  # keeps texts that no pair needs out of the shuffle
+            wanted = F.broadcast(wanted)
         texts = self.source.join(wanted, "rid", "left_semi")
         full = pairs.join(texts.select(F.col("rid").alias("a"), F.col("txt").alias("text_a")), "a").join(
             texts.select(F.col("rid").alias("b"), F.col("txt").alias("text_b")), "b"
