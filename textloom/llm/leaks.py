@@ -90,7 +90,14 @@ class ItemIndex:
         for q, lo, hi in ((12, 12 * (edits + 1) + 6, 1 << 60), (5, 5 * (edits + 1) + 2, 12 * (edits + 1) + 6), (1, 1, 5 * (edits + 1) + 2)):
             own = [i for i, n in enumerate(short) if lo <= n < hi]
             if own:
-                self.tables.append((q, *self._table(own, q)))
+                least = np.full(len(split), 1 << 40, np.int64)
+                plan = {}
+                for i in own:
+                    s, e = self.windows[i]
+                    k = self._budget(e - s, q)
+                    plan[i] = (s, e, k, np.maximum(1, (e - s) + 1 - q * (k + 1)))
+                    least[i] = plan[i][3].min()
+                self.tables.append((q, plan, least, *self._table(own, q)))
 
     def _table(self, own: list[int], q: int):
         parts = [(gram_hashes(self.codes[i], q)[0], i) for i in own]
@@ -112,7 +119,7 @@ class ItemIndex:
         codes = squeeze(texts)
         ends = np.cumsum(codes == 0, dtype=np.int64)
         best: dict[tuple[int, int], int] = {}
-        for q, unique, first, count, item, ipos, maybe in self.tables:
+        for q, plan, least, unique, first, count, item, ipos, maybe in self.tables:
             grams, owner = gram_hashes(codes, q)
             before = np.concatenate((np.zeros(1, np.int64), ends))
             at = np.flatnonzero(before[q:] == before[: len(codes) - q + 1]) if len(codes) >= q else np.zeros(0, np.int64)
@@ -126,10 +133,10 @@ class ItemIndex:
             offset = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
             post = np.repeat(first[place], reps) + offset
             doc, dpos = np.repeat(owner[pick], reps), np.repeat(at[pick], reps)
-            self._regions(best, codes, q, doc, dpos, item[post].astype(np.int64), ipos[post].astype(np.int64))
+            self._regions(best, codes, q, plan, least, doc, dpos, item[post].astype(np.int64), ipos[post].astype(np.int64))
         return [(d, i, e) for (d, i), e in best.items()]
 
-    def _regions(self, best, codes, q, doc, dpos, item, ipos) -> None:
+    def _regions(self, best, codes, q, plan, least, doc, dpos, item, ipos) -> None:
         step = self.edits + 1
         diag = dpos - ipos
         band = diag // step
@@ -141,17 +148,11 @@ class ItemIndex:
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
         starts = np.flatnonzero(new)
         stops = np.append(starts[1:], len(doc))
-        width = {}
+        enough = stops - starts >= least[item[starts]]
         jobs = []
-        for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+        for a, b in zip(starts[enough].tolist(), stops[enough].tolist(), strict=True):
             i = int(item[a])
-            if i not in width:
-                s, e = self.windows[i]
-                k = self._budget(e - s, q)
-                width[i] = (s, e, k, np.maximum(1, (e - s) + 1 - q * (k + 1)))
-            s, e, k, need = width[i]
-            if b - a < int(need.min()):
-                continue
+            s, e, k, need = plan[i]
             hit = np.unique(ipos[a:b])
             shared = np.searchsorted(hit, e - q, "right") - np.searchsorted(hit, s, "left")
             for w in np.flatnonzero(shared >= need).tolist():
