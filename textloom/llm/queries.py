@@ -5,9 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from textloom.llm.leaks import find_leaks
 from textloom.llm.neardup import NearDuplicates
-from textloom.storage import table
+from textloom.llm.tokens import expected_counts, language, script_language, token_counts
+from textloom.storage import materialize, table
+
+
+def _prose_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of prose_cleaned with its exact token count and the count its post_tokens should be near."""
+    prose = table(spark, d, "prose_cleaned")
+    counts = token_counts(prose, "row_id", "cleaned")
+    tags = prose.select(F.col("row_id").alias("id"), "post_tokens", "source_url", "lang", "lang_code", "doc_type")
+    return expected_counts(materialize(tags.join(counts, "id"), "p2"), "post_tokens")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    ratio = F.col("post_tokens") / F.col("expected")
+    bad = F.col("post_tokens").isNull() | (F.col("post_tokens") <= 0) | (ratio >= 3) | (ratio <= F.lit(1) / 3)
+    return _prose_counts(spark, d).where(bad).select(F.col("id").alias("row_id"))
+
+
+def p2_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A sound count for every row: exact tokens of the public tokenizer, and post_tokens or what it should be near."""
+    ratio = F.col("post_tokens") / F.col("expected")
+    sound = (F.col("post_tokens") > 0) & (ratio < 3) & (ratio > F.lit(1) / 3)
+    return _prose_counts(spark, d).select(
+        F.col("id").alias("row_id"),
+        F.coalesce(language(F.col("lang"), F.col("lang_code")), script_language(F.col("kinds"))).alias("language"),
+        "tokens",
+        F.when(sound, F.col("post_tokens")).otherwise(F.round("expected").cast("long")).alias("sound_post_tokens"),
+        F.coalesce(sound, F.lit(False)).alias("post_tokens_usable"),
+    )
+
+
+def p2_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and tokens of each source, language and document type."""
+    return (
+        _prose_counts(spark, d)
+        .groupBy(
+            F.coalesce("source_url", F.lit("unknown")).alias("source_url"),
+            F.coalesce(language(F.col("lang"), F.col("lang_code")), script_language(F.col("kinds"))).alias("language"),
+            F.coalesce(F.lower(F.trim("doc_type")), F.lit("unknown")).alias("doc_type"),
+        )
+        .agg(F.count("*").alias("n_rows"), F.sum("tokens").alias("tokens"), F.sum(F.round("expected").cast("long")).alias("expected_tokens"))
+    )
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -18,5 +61,16 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").groups()
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    near = find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return near.where("edits = 0").select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p7_near(spark: SparkSession, d: str) -> DataFrame:
+    """Also passages within two character edits, with the least number of edits."""
+    near = find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return near.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit()}
