@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.leaks import find_leaks
 from textloom.llm.neardup import NearDuplicates
+from textloom.llm.packing import CAPACITY, pack_sequences
 from textloom.llm.tokens import expected_counts, language, script_language, token_counts
 from textloom.storage import materialize, table
 
@@ -61,6 +62,29 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").groups()
 
 
+def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").where(F.col("lane").isin("web", "indic"))
+    counts = token_counts(docs, "doc_id", "text")
+    sized = materialize(counts.join(docs.select(F.col("doc_id").alias("id"), "lane"), "id").select("lane", F.col("id").alias("doc_id"), "tokens"), "p6-sized")
+    return sized, pack_sequences(sized, "lane", "doc_id", "tokens")
+
+
+def p6_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Where every token of every web and indic text stands."""
+    return _packed(spark, d)[1]
+
+
+def p6_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences, tokens and fill of each lane, beside the token counts of the manifest (latest row of each document)."""
+    sized, packed = _packed(spark, d)
+    last = F.max_by("token_count", F.struct("loaded_at", "token_count"))
+    manifest = table(spark, d, "doc_manifest").where("token_count is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(last.alias("m"))
+    told = sized.join(manifest, "doc_id", "left").groupBy("lane").agg(F.count("*").alias("n_docs"), F.sum("m").cast("long").alias("manifest_tokens"))
+    bins = packed.groupBy("lane", "sequence_id").agg(F.sum("tokens").alias("t"))
+    fill = bins.groupBy("lane").agg(F.count("*").alias("n_sequences"), F.sum("t").alias("tokens"))
+    return fill.join(told, "lane").withColumn("fill", F.round(F.col("tokens") / (F.col("n_sequences") * CAPACITY), 4))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     near = find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
     return near.where("edits = 0").select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"))
