@@ -11,6 +11,7 @@ from textloom.llm.leaks import find_leaks
 from textloom.llm.neardup import NearDuplicates
 from textloom.llm.packing import CAPACITY, pack_sequences
 from textloom.llm.tokens import expected_counts, language, script_language, token_counts
+from textloom.llm.truncation import cut_texts
 from textloom.storage import materialize, table
 
 
@@ -96,5 +97,19 @@ def p7_near(spark: SparkSession, d: str) -> DataFrame:
     return near.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits")
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    cut = cut_texts(table(spark, d, "documents"), "doc_id", "text", "lane")
+    return cut.where("cut").select(F.col("id").alias("doc_id"))
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    docs = table(spark, d, "documents")
+    cut = cut_texts(docs, "doc_id", "text", "lane").select(F.col("id").alias("doc_id"), "cut")
+    hits = F.sum(F.coalesce(F.col("cut"), F.lit(False)).cast("long"))
+    rows = docs.select("doc_id", F.coalesce("source", F.lit("unknown")).alias("source")).join(cut, "doc_id", "left")
+    return rows.groupBy("source").agg(F.count("*").alias("n_docs"), hits.alias("n_cut")).withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_docs"), 4))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit()}
