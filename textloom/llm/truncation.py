@@ -30,12 +30,25 @@ OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?))+\
 # Stops that end a sentence; a finished one has three letters, a bracket or a quote before a full stop.
 SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
 
-_KIND = r"""CASE WHEN {w} IN ('⏎', '⏎⏎', '^') THEN {w} WHEN right(rtrim('")”\'', {w}), 1) IN ('.', '।', '॥', '?', '!', '…') THEN 'S'
- WHEN right({w}, 1) IN (',', ';', ':') THEN 'C' WHEN rtrim('#.,%()-:/+', {w}) = '' THEN '#' ELSE 'w' END"""
+# Signs that may follow a stop, and signs that numbers are written with.
+CLOSERS, FIGURES = "\")”'", "#.,%()-:/+"
+
+
+def _ends(w: str, signs: str) -> str:
+    return "(" + " OR ".join(f"endswith({w}, '{c}')" for c in signs) + ")"
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
 def _kind(w: str) -> str:
-    return _KIND.replace("{w}", w)
+    bare = f"rtrim({_sql(CLOSERS)}, {w})"
+    closed = " OR ".join(f"endswith({w}, {_sql(c)})" for c in CLOSERS)
+    return (
+        f"CASE WHEN {w} IN ('⏎', '⏎⏎', '^') THEN {w} WHEN {_ends(w, '.।॥?!…')} THEN 'S' WHEN {_ends(w, ',;:')} THEN 'C' "
+        f"WHEN ({closed}) AND {_ends(bare, '.।॥?!…')} THEN 'S' WHEN contains({w}, '#') AND rtrim('{FIGURES}', {w}) = '' THEN '#' ELSE 'w' END"
+    )
 
 
 #: Forms of a trigram x y z in the order they are tried (k: the kind instead of the word; the third word
