@@ -27,6 +27,8 @@ BROADCAST_FORMS = 1_000_000
 
 # The marks that excerpts end with, as one pattern.
 OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?))+\s*$"
+# A tag that the end of a text cuts open; what stands before it is judged.
+OPEN_TAG = r"\s*<[a-zA-Z/][^<>]*$"
 # Stops that end a sentence; a finished one has three letters, a bracket or a quote before a full stop.
 SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
 
@@ -75,9 +77,10 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         rf"""
         SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' AS sentences
         FROM (SELECT id, txt, code, array_remove(split(replace(regexp_replace(regexp_replace(whole, r'\p{{Nd}}+', '#'), r'(\r?\n[ \t]*){{2,}}', ' ⏎⏎ '), chr(10), ' ⏎ '), r'[ \t\xa0\r]+'), '') AS w
-              FROM (SELECT *, CASE WHEN right(txt, 1) = chr(10) THEN concat(txt, chr(10))
-                                   WHEN right(txt, 60) RLIKE r'{OMISSION}' THEN regexp_replace(txt, r'{OMISSION}', '') ELSE txt END AS whole
-                    FROM src_{tag} WHERE txt IS NOT NULL))
+              FROM (SELECT *, CASE WHEN right(shut, 1) = chr(10) THEN concat(shut, chr(10))
+                                   WHEN right(shut, 60) RLIKE r'{OMISSION}' THEN regexp_replace(shut, r'{OMISSION}', '') ELSE shut END AS whole
+                    FROM (SELECT *, CASE WHEN NOT code AND right(txt, 300) RLIKE r'{OPEN_TAG}' THEN regexp_replace(txt, r'{OPEN_TAG}', '') ELSE txt END AS shut
+                          FROM src_{tag} WHERE txt IS NOT NULL)))
         WHERE size(w) > 0"""
     ).createOrReplaceTempView(f"words_{tag}")
     last = spark.sql(
