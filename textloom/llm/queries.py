@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textloom.llm.leaks import find_leaks
 from textloom.llm.neardup import NearDuplicates
 from textloom.llm.packing import CAPACITY, pack_sequences
+from textloom.llm.pii import find_personal_data, redact_personal_data
 from textloom.llm.tokens import expected_counts, language, script_language, token_counts
 from textloom.llm.truncation import cut_texts
 from textloom.storage import materialize, table
@@ -55,6 +56,26 @@ def p2_totals(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: The tables with free text, and their keys.
+FREE_TEXT = (("documents", "doc_id"), ("prose_cleaned", "row_id"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    names = table(spark, d, "name_lexicon")
+    parts = [find_personal_data(table(spark, d, t), key, "text", names).select(F.lit(t).alias("table_name"), F.col("id").alias("row_key"), "label") for t, key in FREE_TEXT]
+    return parts[0].union(parts[1])
+
+
+def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every text, readable, with typed placeholders."""
+    names = table(spark, d, "name_lexicon")
+    parts = [
+        redact_personal_data(table(spark, d, t), key, "text", names).select(F.lit(t).alias("table_name"), F.col("id").alias("row_key"), F.col("txt").alias("text"), "labels", "spans")
+        for t, key in FREE_TEXT
+    ]
+    return parts[0].union(parts[1])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").found()
 
