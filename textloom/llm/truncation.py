@@ -54,9 +54,8 @@ def _kind(w: str) -> str:
 
 
 #: Forms of a trigram x y z in the order they are tried (k: the kind instead of the word; the third word
-#: counts only where it is named). A word that ends a sentence is looked up by its kind alone.
+#: counts only where it is named). A text that ends with a word of kind S is complete.
 FORMS = ("xxhash64(0, kx, y, z)", "xxhash64(1, x, y)", "xxhash64(2, kx, y)", "xxhash64(3, x, ky)", "xxhash64(4, kx, ky, code)")
-STOP = "xxhash64(5)"
 #: A line break at the end of a text stands for the end of a block: it is looked up among block ends by the
 #: last character before it, then among all line breaks.
 _LAST = "xxhash64({n}, regexp_replace(regexp_replace(right(y, 1), r'\\p{{L}}|\\p{{M}}', 'a'), r'\\p{{Nd}}', '#'), code)"
@@ -85,7 +84,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     ).createOrReplaceTempView(f"words_{tag}")
     last = spark.sql(
         f"""
-        SELECT id, content, sentences, CASE WHEN kz = 'S' THEN array({STOP}) WHEN z = '⏎⏎' THEN array({BLOCK}, {LINE}) ELSE array({', '.join(FORMS)}) END AS forms
+        SELECT id, content, sentences, CASE WHEN kz = 'S' THEN cast(array() AS array<bigint>) WHEN z = '⏎⏎' THEN array({BLOCK}, {LINE}) ELSE array({', '.join(FORMS)}) END AS forms
         FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky, {_kind('z')} AS kz
               FROM (SELECT id, content, code, sentences, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z FROM words_{tag}))"""
     )
@@ -97,8 +96,8 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     counted = spark.sql(
         f"""
         WITH grams AS (
-            SELECT explode(array({', '.join(FORMS)}, CASE WHEN kz = 'S' THEN {STOP} WHEN z = '⏎⏎' THEN {BLOCK} END, CASE WHEN z IN ('⏎', '⏎⏎') THEN {LINE} END)) AS f
-            FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky, {_kind('z')} AS kz
+            SELECT explode(CASE WHEN z IN ('⏎', '⏎⏎') THEN array({', '.join(FORMS)}, {LINE}, if(z = '⏎⏎', {BLOCK}, 0)) ELSE array({', '.join(FORMS)}) END) AS f
+            FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky
                   FROM (SELECT code, t.x, t.y, t.z FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 3), slice(w, 2, size(w) - 3), slice(w, 3, size(w) - 3))) t AS x, y, z WHERE size(w) > 3))),
         inner_grams AS (SELECT {hint} g.f, count(*) AS inside FROM grams g LEFT SEMI JOIN ends_{tag} e ON g.f = e.f GROUP BY g.f)
         SELECT e.f, e.ends, coalesce(i.inside, 0) AS inside FROM ends_{tag} e LEFT JOIN inner_grams i ON e.f = i.f"""
@@ -106,9 +105,9 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     materialize(counted, "p8-counts").createOrReplaceTempView(f"counts_{tag}")
     return spark.sql(
         f"""
-        SELECT l.id, l.content, l.sentences, array_sort(collect_list(struct(l.form, c.inside, c.ends))) AS forms
-        FROM (SELECT id, content, sentences, posexplode(forms) AS (form, f) FROM last_{tag}) l
-        JOIN counts_{tag} c ON l.f = c.f GROUP BY l.id, l.content, l.sentences"""
+        SELECT l.id, l.content, l.sentences, array_sort(filter(collect_list(struct(l.form, c.inside, c.ends)), f -> f.form IS NOT NULL)) AS forms
+        FROM (SELECT id, content, sentences, posexplode_outer(forms) AS (form, f) FROM last_{tag}) l
+        LEFT JOIN counts_{tag} c ON l.f = c.f GROUP BY l.id, l.content, l.sentences"""
     )
 
 
