@@ -8,14 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm.leaks import find_leaks
+from textloom.llm.mixing import mixture_report, mixture_uses
 from textloom.llm.neardup import NearDuplicates
 from textloom.llm.packing import CAPACITY, pack_sequences
 from textloom.llm.pii import find_personal_data, redact_personal_data
+from textloom.llm.quality import NAMES, text_kinds
 from textloom.llm.tokens import expected_counts, language, script_language, token_counts
 from textloom.llm.truncation import cut_texts
 from textloom.storage import materialize, table
 
 
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target, reached and seen shares of each plan and lane."""
+    return mixture_report(table(spark, d, "registry_manifest"), table(spark, d, "mixture_targets"), table(spark, d, "checkpoint_manifest"))
+
+
+def p1_uses(spark: SparkSession, d: str) -> DataFrame:
+    """How often each shard is used under each plan."""
+    return mixture_uses(table(spark, d, "registry_manifest"), table(spark, d, "mixture_targets"))
+
+
 def _prose_counts(spark: SparkSession, d: str) -> DataFrame:
     """Every row of prose_cleaned with its exact token count and the count its post_tokens should be near."""
     prose = table(spark, d, "prose_cleaned")
@@ -76,6 +88,20 @@ def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].union(parts[1])
 
 
+def _kinds(spark: SparkSession, d: str) -> DataFrame:
+    return text_kinds(table(spark, d, "prose_cleaned"), "row_id", "cleaned", table(spark, d, "quality_labels"), "row_id", "label_kind")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _kinds(spark, d).where("kind <> 'prose'").select(F.col("id").alias("row_id"), "kind")
+
+
+def p4_stats(spark: SparkSession, d: str) -> DataFrame:
+    """The statistics, kind and calibrated probability of every row."""
+    stats = [F.round(F.element_at("stats", i + 1), 6).alias(n) for i, n in enumerate(NAMES)]
+    return _kinds(spark, d).select(F.col("id").alias("row_id"), "kind", F.round("probability", 6).alias("probability"), *stats)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").found()
 
