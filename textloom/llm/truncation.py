@@ -32,6 +32,8 @@ OPEN_TAG = r"\s*<[a-zA-Z/][^<>]*$"
 # Stops that end a sentence; a finished one has three letters, a bracket or a quote before a full stop.
 SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
 
+# Runs of ASCII digits and of the Indic scripts' digits.
+DIGITS = "[0-9०-९০-৯੦-੯૦-૯୦-୯௦-௯౦-౯೦-೯൦-൯]+"
 # Signs that may follow a stop, and signs that numbers are written with.
 CLOSERS, FIGURES = "\")”'", "#.,%()-:/+"
 
@@ -75,7 +77,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     spark.sql(
         rf"""
         SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' AS sentences
-        FROM (SELECT id, txt, code, array_remove(split(replace(regexp_replace(regexp_replace(whole, r'\p{{Nd}}+', '#'), r'(\r?\n[ \t]*){{2,}}', ' ⏎⏎ '), chr(10), ' ⏎ '), r'[ \t\xa0\r]+'), '') AS w
+        FROM (SELECT id, txt, code, array_remove(split(replace(replace(replace(replace(replace(replace(regexp_replace(whole, '{DIGITS}', '#'), '\r\n', '\n'), '\n\n', ' ⏎⏎ '), '\n', ' ⏎ '), '\t', ' '), '\r', ' '), chr(160), ' '), ' '), '') AS w
               FROM (SELECT *, CASE WHEN right(shut, 1) = chr(10) THEN concat(shut, chr(10))
                                    WHEN right(shut, 60) RLIKE r'{OMISSION}' THEN regexp_replace(shut, r'{OMISSION}', '') ELSE shut END AS whole
                     FROM (SELECT *, CASE WHEN NOT code AND right(txt, 300) RLIKE r'{OPEN_TAG}' THEN regexp_replace(txt, r'{OPEN_TAG}', '') ELSE txt END AS shut
