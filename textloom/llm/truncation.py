@@ -65,24 +65,23 @@ BLOCK, LINE = _LAST.format(n=6), _LAST.format(n=7)
 
 
 def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None) -> DataFrame:
-    """(id, content, sentences, forms): of every text with words, its final trigram's forms, in order,
+    """(id, content, sentences, forms): of every text, its final trigram's forms, in order,
     each with ``inside`` (places inside texts, all rows) and ``ends`` (distinct texts that end so).
 
     Ends are counted over distinct texts, so copies of one cut text do not vouch for each other. Null
-    and empty texts have no row; texts under three words are padded.
+    texts have no row; texts under three words are padded.
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex[:12]
     df.selectExpr(f"cast({id_col} AS bigint) AS id", f"{text_col} AS txt", (f"coalesce({lane_col} = 'code', false)" if lane_col else "false") + " AS code").createOrReplaceTempView(f"src_{tag}")
     spark.sql(
         rf"""
-        SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' AS sentences
+        SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' AS sentences
         FROM (SELECT id, txt, code, array_remove(split(replace(replace(replace(replace(replace(replace(regexp_replace(whole, '{DIGITS}', '#'), '\r\n', '\n'), '\n\n', ' ⏎⏎ '), '\n', ' ⏎ '), '\t', ' '), '\r', ' '), chr(160), ' '), ' '), '') AS w
               FROM (SELECT *, CASE WHEN right(shut, 1) = chr(10) THEN concat(shut, chr(10))
                                    WHEN right(shut, 60) RLIKE r'{OMISSION}' THEN regexp_replace(shut, r'{OMISSION}', '') ELSE shut END AS whole
                     FROM (SELECT *, CASE WHEN NOT code AND right(txt, 300) RLIKE r'{OPEN_TAG}' THEN regexp_replace(txt, r'{OPEN_TAG}', '') ELSE txt END AS shut
-                          FROM src_{tag} WHERE txt IS NOT NULL)))
-        WHERE size(w) > 0"""
+                          FROM src_{tag} WHERE txt IS NOT NULL)))"""
     ).createOrReplaceTempView(f"words_{tag}")
     last = spark.sql(
         f"""
@@ -100,7 +99,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         WITH grams AS (
             SELECT explode(CASE WHEN z IN ('⏎', '⏎⏎') THEN array({', '.join(FORMS)}, {LINE}, if(z = '⏎⏎', {BLOCK}, 0)) ELSE array({', '.join(FORMS)}) END) AS f
             FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky
-                  FROM (SELECT code, t.x, t.y, t.z FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 3), slice(w, 2, size(w) - 3), slice(w, 3, size(w) - 3))) t AS x, y, z WHERE size(w) > 3))),
+                  FROM (SELECT code, t.x, t.y, t.z FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 3), slice(w, 2, size(w) - 3), slice(w, 3, size(w) - 3))) t AS x, y, z))),
         inner_grams AS (SELECT {hint} g.f, count(*) AS inside FROM grams g LEFT SEMI JOIN ends_{tag} e ON g.f = e.f GROUP BY g.f)
         SELECT e.f, e.ends, coalesce(i.inside, 0) AS inside FROM ends_{tag} e LEFT JOIN inner_grams i ON e.f = i.f"""
     )
@@ -114,7 +113,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
 
 
 def cut_texts(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
-    """(id, cut): whether each text with words stops before its end.
+    """(id, cut): whether each text that is not null stops before its end.
 
     The first form with ``support`` places inside texts, or KNOWN_ENDS other texts that end so, decides:
     the text is cut if other texts end so in at most ``share`` of its places. Prose without any finished sentence (headings, lists, tables) counts
