@@ -1,19 +1,448 @@
-"""All queries of the core library and their SQL forms."""
+"""All queries of the core library, each over its whole tables, with the SQL that states the same."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from textloom.functions import pii, quality
+from textloom.functions import text as tx
+from textloom.operators import corpus, minhash, sequences
+from textloom.sources.tables import tag, upsert, with_text
+from textloom.storage import materialize, table
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+CATALOG: dict[str, tuple[Query, str | None]] = {}
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+def add(name: str, sql: str | None):
+    def put(f: Query) -> Query:
+        CATALOG[name] = (f, sql)
+        return f
+
+    return put
+
+
+def docs(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "documents")
+
+
+def prose(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "prose_cleaned")
+
+
+# ---- text scalars -----------------------------------------------------------------------------------------------
+W_SQL = tx.WORD
+WORDS = f"regexp_extract_all(coalesce(text, ''), '{tx.WORD}')"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '{tx.STRIP}', '', 'g')"
+
+
+
+
+def _scalar(name: str, build, sql: str | None) -> None:
+    CATALOG[name] = (
+        lambda s, d: docs(s, d).select("doc_id", build(F.col("text")).alias("result")),
+        sql and f"SELECT doc_id, {sql} AS result FROM documents",
+    )
+
+
+def _re(x: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({x}, '{pattern}', '{by}', 'g')"
+
+
+def _stops(x: str) -> str:
+    for c in tx.STOPS:
+        x = _re(x, ("\\" + c if c in "?." else c) + "+", c)
+    return x
+
+
+def _white(x: str) -> str:
+    return _re(_re(_re(x, tx.BLANKS, " "), r"\n{3,}", chr(10) * 2), tx.STRIP, "")
+
+
+_HTML = _re(_re("text", tx.TAG, " "), tx.ENTITY, " ")
+_scalar("t1_strip_html", tx.strip_html, _HTML)
+_scalar("t2_strip_urls", tx.strip_urls, _re("text", tx.URL, " "))
+_scalar("t3_strip_emails", tx.strip_emails, _re("text", tx.EMAIL, " "))
+_scalar("t4_collapse_stops", tx.collapse_stops, _stops("text"))
+_scalar("t5_collapse_elongation", tx.collapse_elongation, None)
+_scalar("t6_collapse_white", tx.collapse_white, _white("text"))
+_scalar("t7_clean_text", lambda c: tx.clean_text(c, elongation=False), _white(_stops(_re(_re(_HTML, tx.URL, " "), tx.EMAIL, " "))))
+_scalar("t8_strip_format", tx.strip_format, _re("text", "[" + tx.FORMAT_CONTROLS + "]", ""))
+_scalar("t9_nfc", tx.nfc, "nfc_normalize(text)")
+_scalar("t10_t11_nuktas", tx.normalize_nuktas, None)
+_scalar("t12_strip_joiners", tx.strip_joiners, None)
+_DIGITS = "".join(chr(ord(z) + i) for z in tx.DIGIT_ZEROS for i in range(10))
+_scalar("t13_fold_digits", tx.fold_digits, f"translate(text, '{_DIGITS}', '{'0123456789' * len(tx.DIGIT_ZEROS)}')")
+_scalar("t14_normalize_text", tx.normalize_text, None)
+_scalar("t15_dedup_key", tx.dedup_key, f"trim(regexp_replace(translate(regexp_replace(text, '[‌‍]', '', 'g'), '{_DIGITS}', '{'0123456789' * len(tx.DIGIT_ZEROS)}'), '[{tx.WHITE}]+', ' ', 'g'))")
+_scalar("t16_preprocess", tx.preprocess, None)
+_COUNT = lambda s: f"len(regexp_extract_all(text, '{tx.block(s)}'))"
+_FIRST = lambda s: f"length(regexp_extract(text, '^[^{tx.block(s)[1:-1]}]*'))"
+_scalar(
+    "t17_brahmic_script",
+    tx.brahmic_script,
+    "(SELECT CASE WHEN max(n) > 0 THEN max_by(s, n * 1000000 - a) END FROM (VALUES " + ", ".join(f"({_COUNT(s)}, {_FIRST(s)}, '{s}')" for s in tx.SCRIPTS) + ") v(n, a, s))",
+)
+_scalar("t20_clean_code", tx.strip_format, _re("text", "[" + tx.FORMAT_CONTROLS + "]", ""))
+
+
+@add("t18_t19_token_report", """
+SELECT coalesce(lang_code, 'unknown') AS lang, CAST(sum(strlen(text)) AS BIGINT) AS pre, CAST(sum(strlen(cleaned)) AS BIGINT) AS post, CAST(sum(strlen(cleaned) - strlen(text)) AS BIGINT) AS delta,
+ round(CASE WHEN sum(strlen(text)) = 0 THEN 0 ELSE 100.0 * sum(strlen(cleaned) - strlen(text)) / sum(strlen(text)) END, 6) AS pct FROM prose_cleaned GROUP BY 1
+UNION ALL SELECT 'TOTAL', CAST(sum(strlen(text)) AS BIGINT), CAST(sum(strlen(cleaned)) AS BIGINT), CAST(sum(strlen(cleaned) - strlen(text)) AS BIGINT),
+ round(CASE WHEN sum(strlen(text)) = 0 THEN 0 ELSE 100.0 * sum(strlen(cleaned) - strlen(text)) / sum(strlen(text)) END, 6) FROM prose_cleaned""")
+def token_report(s, d):
+    rows = prose(s, d).select(F.coalesce("lang_code", F.lit("unknown")).alias("lang"), F.octet_length("text").cast("long").alias("a"), F.octet_length("cleaned").cast("long").alias("b"))
+    sums = rows.rollup("lang").agg(F.sum("a").alias("pre"), F.sum("b").alias("post"), F.grouping("lang").alias("g"))
+    pct = F.when(F.col("pre") == 0, 0.0).otherwise(100.0 * (F.col("post") - F.col("pre")) / F.col("pre"))
+    return sums.select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("lang")).alias("lang"), "pre", "post", (F.col("post") - F.col("pre")).alias("delta"), F.round(pct, 6).alias("pct"))
+
+
+# ---- quality ----------------------------------------------------------------------------------------------------
+@add("q1_q2_q3_q10_word_stats", f"""
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(CASE WHEN len(w) = 0 THEN 0 ELSE list_sum(list_transform(w, lambda x: length(x))) / len(w) END, 6) AS mean_len,
+ round(CASE WHEN len(w) = 0 THEN 0 ELSE len(regexp_extract_all(text, '{quality.SYMBOL}')) / len(w) END, 6) AS symbols,
+ greatest(1, CAST(len(list_filter(string_split_regex(text, '{quality.SENTENCE_END}'), lambda x: {_strip('x')} <> '')) AS BIGINT)) AS sentences
+FROM (SELECT *, {WORDS} AS w FROM documents)""")
+def word_stats(s, d):
+    c = F.col("text")
+    return docs(s, d).select("doc_id", F.size(tx.words(c)).cast("long").alias("n_words"), F.round(quality.mean_word_length(c), 6).alias("mean_len"), F.round(quality.symbol_ratio(c), 6).alias("symbols"), quality.sentences(c).cast("long").alias("sentences"))
+
+
+def _gram_sql(n: int) -> str:
+    gram = "x" if n == 1 else "concat_ws(' ', " + ", ".join(f"w[i + {k}]" for k in range(n)) + ")"
+    rows = "unnest(w) AS g" if n == 1 else f"unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: {gram})) AS g"
+    return f"""WITH t AS (SELECT doc_id, {WORDS} AS w FROM documents), c AS (SELECT doc_id, max(c) AS c FROM (SELECT doc_id, g, count(*) AS c FROM (SELECT doc_id, {rows} FROM t WHERE len(w) >= {n}) GROUP BY 1, 2) GROUP BY 1)
+SELECT t.doc_id, round(CASE WHEN len(w) > 0 THEN coalesce(c, 0) * {n} / len(w) ELSE 0 END, 6) AS share FROM t LEFT JOIN c ON t.doc_id = c.doc_id"""
+
+
+for _name, _n in (("q4_top_2gram", 2), ("q5_term_frequency", 1)):
+    CATALOG[_name] = (lambda s, d, n=_n: corpus.top_gram_share(docs(s, d), "doc_id", "text", n).withColumn("share", F.round("share", 6)), _gram_sql(_n))
+
+
+@add("q6_lexical_diversity", None)
+def lexical(s, d):
+    return docs(s, d).select("doc_id", F.round(quality.lexical_diversity("text"), 6).alias("diversity"))
+
+
+@add("q7_q8_q9_readability", None)
+def readability(s, d):
+    return docs(s, d).select("doc_id", F.round(quality.difficulty_ratio(F.col("text")), 6).alias("difficulty"), F.round(quality.reading_ease(F.col("text")), 4).alias("ease"))
+
+
+def _repeat_sql(sep: str) -> str:
+    return f"""WITH p AS (SELECT doc_id, {_strip('p')} AS p FROM (SELECT doc_id, unnest(string_split(text, {sep})) AS p FROM documents)),
+c AS (SELECT doc_id, sum(c) AS n, sum(CASE WHEN c > 1 THEN c ELSE 0 END) AS r FROM (SELECT doc_id, p, count(*) AS c FROM p WHERE p <> '' GROUP BY 1, 2) GROUP BY 1)
+SELECT d.doc_id, round(CASE WHEN n > 1 THEN r / n ELSE 0 END, 6) AS share FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id"""
+
+
+for _name, _sep, _sql in (("q11_duplicate_lines", "\n", "chr(10)"), ("q12_duplicate_paragraphs", "\n\n", "chr(10) || chr(10)")):
+    CATALOG[_name] = (lambda s, d, sep=_sep: corpus.repeated_share(docs(s, d), "doc_id", "text", sep).withColumn("share", F.round("share", 6)), _repeat_sql(_sql))
+
+_LINES = f"SELECT doc_id, {_strip('p')} AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents)"
+_BOILER = f"SELECT line, count(DISTINCT doc_id) AS n_docs FROM ({_LINES}) WHERE length(line) >= 8 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3"
+
+
+@add("q13_boilerplate_lines", _BOILER)
+def boilerplate(s, d):
+    return corpus.boilerplate_lines(docs(s, d), "doc_id", "text")
+
+
+@add("q14_boilerplate_share", f"""WITH l AS ({_LINES}), b AS ({_BOILER}), c AS (SELECT doc_id, count(*) AS n, count(b.line) AS h FROM l LEFT JOIN b ON l.line = b.line WHERE l.line <> '' GROUP BY 1)
+SELECT d.doc_id, round(coalesce(h / n, 0), 6) AS share FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id""")
+def boilerplate_share(s, d):
+    return corpus.boilerplate_share(docs(s, d), "doc_id", "text").withColumn("share", F.round("share", 6))
+
+
+@add("q15_w1_quantile_band", """WITH b AS (SELECT lang, quantile_cont(n_chars, 0.02) AS lo, quantile_cont(n_chars, 0.98) AS hi FROM documents GROUP BY 1)
+SELECT doc_id, d.lang, n_chars, n_chars BETWEEN lo AND hi AS keep FROM documents d JOIN b ON d.lang IS NOT DISTINCT FROM b.lang""")
+def band(s, d):
+    return corpus.quantile_band(docs(s, d), "doc_id", "lang", "n_chars")
+
+
+_N = f"CAST(len({WORDS}) AS BIGINT)"
+
+
+@add("q16_p4_p7_rule_drops", f"""SELECT lane, count(*) AS total, CAST(sum(CASE WHEN n BETWEEN 20 AND 100000 THEN 0 ELSE 1 END) AS BIGINT) AS drop_words, CAST(sum(CASE WHEN m BETWEEN 1.5 AND 20 THEN 0 ELSE 1 END) AS BIGINT) AS drop_mean,
+ CAST(sum(CASE WHEN y <= 0.1 THEN 0 ELSE 1 END) AS BIGINT) AS drop_symbols, CAST(sum(CASE WHEN n BETWEEN 20 AND 100000 AND m BETWEEN 1.5 AND 20 AND y <= 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS kept
+FROM (SELECT lane, len(w) AS n, CASE WHEN len(w) = 0 THEN 0 ELSE list_sum(list_transform(w, lambda x: length(x))) / len(w) END AS m, CASE WHEN len(w) = 0 THEN 0 ELSE len(regexp_extract_all(text, '{quality.SYMBOL}')) / len(w) END AS y
+ FROM (SELECT *, {WORDS} AS w FROM documents)) GROUP BY 1""")
+def rule_drops(s, d):
+    c = F.col("text")
+    rows = docs(s, d).select("lane", F.size(tx.words(c)).alias("n"), quality.mean_word_length(c).alias("m"), quality.symbol_ratio(c).alias("y"))
+    rules = {"drop_words": F.col("n").between(20, 100000), "drop_mean": F.col("m").between(1.5, 20), "drop_symbols": F.col("y") <= 0.1}
+    count = lambda x: F.sum(F.when(x, 1).otherwise(0))
+    keep = rules["drop_words"] & rules["drop_mean"] & rules["drop_symbols"]
+    return rows.groupBy("lane").agg(F.count("*").alias("total"), *[count(~r).alias(k) for k, r in rules.items()], count(keep).alias("kept"))
+
+
+# ---- routing, redaction -----------------------------------------------------------------------------------------
+@add("r1_r2_r3_route", None)
+def route(s, d):
+    return corpus.route_by_script(docs(s, d), "doc_id", "text").withColumn("purity", F.round("purity", 6))
+
+
+@add("r4_r5_p11_route_report", None)
+def route_report(s, d):
+    routed = corpus.route_by_script(docs(s, d), "doc_id", "text").join(docs(s, d).select("doc_id", "lang"), "doc_id")
+    return routed.groupBy(F.coalesce("folder", F.lit("discarded")).alias("folder")).agg(F.count("*").alias("n"), F.round(F.avg("purity"), 6).alias("purity"), F.round(F.avg(F.when(F.substring("folder", 1, 1) == F.substring("lang", 1, 1), 1).otherwise(0)), 6).alias("agree"))
+
+
+_PII_SQL = "text"
+for _label, _pattern in pii.RULES[:4]:
+    _PII_SQL = _re(_PII_SQL, _pattern, f"[{_label}]")
+
+
+@add("i1_i2_i3_redact", f"SELECT doc_id, {_PII_SQL} AS result FROM documents")
+def redact_plain(s, d):
+    c = F.col("text")
+    for label, pattern in pii.RULES[:4]:
+        c = F.regexp_replace(c, pattern, f"[{label}]")
+    return docs(s, d).select("doc_id", c.alias("result"))
+
+
+@add("i4_i8_redact_all", None)
+def redact_all(s, d):
+    return docs(s, d).select("doc_id", pii.redact(F.col("text")).alias("result"))
+
+
+@add("i9_redactions_by_lane", None)
+def redactions(s, d):
+    found = docs(s, d).select("lane", F.explode(F.regexp_extract_all(pii.redact(F.col("text")), F.lit(r"\[(URL|EMAIL|IP|PAN|PHONE|AADHAAR|CREDIT_CARD)\]"), F.lit(1))).alias("label"))
+    return found.groupBy("lane", "label").agg(F.count("*").alias("n"))
+
+
+# ---- copies and near copies -------------------------------------------------------------------------------------
+@add("m0_exact_copies", "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keeper, count(*) OVER (PARTITION BY text) AS copies FROM documents")
+def copies(s, d):
+    return corpus.exact_copies(docs(s, d), "doc_id", "text")
+
+
+@add("m3_best_bands", "SELECT * FROM (VALUES (128, 0.8, 8, 16), (64, 0.5, 16, 4), (128, 0.5, 32, 4)) t(n, threshold, bands, n_rows)")
+def bands(s, d):
+    return s.createDataFrame([(n, t, *minhash.best_bands(n, t)) for n, t in ((128, 0.8), (64, 0.5), (128, 0.5))], "n int, threshold double, bands int, n_rows int")
+
 
+@add("m1_m4_signatures", None)
+def signatures(s, d):
+    return minhash.signatures(docs(s, d), "doc_id", "text").select("doc_id", F.md5(F.concat_ws(",", "sig")).alias("sig"))
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+
+@add("m5_m8_survivors", None)
+def survivors(s, d):
+    return minhash.survivors(docs(s, d), "doc_id", "text")
+
+
+@add("m9_dedup_report", None)
+def dedup_report(s, d):
+    kept = minhash.survivors(docs(s, d), "doc_id", "text").join(docs(s, d).select("doc_id", "lane"), "doc_id")
+    return kept.groupBy("lane").agg(F.count("*").alias("total"), F.sum(F.col("keep").cast("long")).alias("kept"), F.countDistinct("cluster").alias("clusters"))
+
+
+# ---- aggregates, windows, sets ----------------------------------------------------------------------------------
+@add("a3_pivot", "SELECT lane, count(*) FILTER (doc_type = 'web') AS web, count(*) FILTER (doc_type = 'pdf') AS pdf, count(*) FILTER (doc_type = 'speech') AS speech FROM documents GROUP BY 1")
+def pivot(s, d):
+    return docs(s, d).groupBy("lane").pivot("doc_type", ["web", "pdf", "speech"]).count().fillna(0)
+
+
+@add("a4_a5_a7_sources", "SELECT source, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars, count(DISTINCT lang) AS n_langs, count(*) FILTER (license_class IS NULL) AS no_license FROM documents GROUP BY 1")
+def sources(s, d):
+    return docs(s, d).groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"), F.countDistinct("lang").alias("n_langs"), F.count_if(F.col("license_class").isNull()).alias("no_license"))
+
+
+@add("a6_profile", """SELECT lane, count(n_chars) AS n, round(avg(n_chars), 4) AS mean, round(stddev_samp(n_chars), 4) AS sd, min(n_chars) AS lo, round(quantile_cont(n_chars, 0.05), 4) AS p05, round(quantile_cont(n_chars, 0.5), 4) AS p50,
+ round(quantile_cont(n_chars, 0.95), 4) AS p95, max(n_chars) AS hi FROM documents GROUP BY 1""")
+def profile(s, d):
+    q = lambda p: F.round(F.percentile("n_chars", F.lit(p)), 4)
+    return docs(s, d).groupBy("lane").agg(F.count("n_chars").alias("n"), F.round(F.avg("n_chars"), 4).alias("mean"), F.round(F.stddev_samp("n_chars"), 4).alias("sd"), F.min("n_chars").alias("lo"), q(0.05).alias("p05"), q(0.5).alias("p50"), q(0.95).alias("p95"), F.max("n_chars").alias("hi"))
+
+
+@add("a9_i11_waterfall", """WITH s AS (SELECT * FROM (SELECT 1 AS step, 'raw' AS stage, CAST(sum(strlen(text)) AS BIGINT) AS tokens FROM prose_cleaned UNION ALL SELECT 2, 'cleaned', CAST(sum(strlen(cleaned)) AS BIGINT) FROM prose_cleaned
+ UNION ALL SELECT 3, 'distinct', CAST(sum(strlen(cleaned)) AS BIGINT) FROM (SELECT DISTINCT cleaned FROM prose_cleaned)))
+SELECT step, stage, tokens, round(CASE WHEN lag(tokens) OVER (ORDER BY step) > 0 THEN 100.0 * (tokens - lag(tokens) OVER (ORDER BY step)) / lag(tokens) OVER (ORDER BY step) ELSE 0 END, 6) AS step_pct,
+ round(100.0 * (tokens - first_value(tokens) OVER (ORDER BY step)) / first_value(tokens) OVER (ORDER BY step), 6) AS total_pct FROM s""")
+def waterfall(s, d):
+    p = prose(s, d)
+    part = lambda i, n, df, c: df.agg(F.sum(F.octet_length(c).cast("long")).alias("tokens")).select(F.lit(i).alias("step"), F.lit(n).alias("stage"), "tokens")
+    rows = part(1, "raw", p, "text").union(part(2, "cleaned", p, "cleaned")).union(part(3, "distinct", p.groupBy(F.md5("cleaned")).agg(F.first("cleaned").alias("cleaned")), "cleaned"))
+    w = W.orderBy("step")  # one row for each stage
+    before, first = F.lag("tokens").over(w), F.first("tokens").over(w)
+    return rows.select("step", "stage", "tokens", F.round(F.when(before > 0, 100.0 * (F.col("tokens") - before) / before).otherwise(0.0), 6).alias("step_pct"), F.round(100.0 * (F.col("tokens") - first) / first, 6).alias("total_pct"))
+
+
+@add("a10_v4_mixture", """SELECT lane, CAST(sum(n_chars) AS BIGINT) AS n, round(100.0 * sum(n_chars) / sum(sum(n_chars)) OVER (), 1) AS pct FROM documents GROUP BY 1""")
+def mixture(s, d):
+    sums = docs(s, d).groupBy("lane").agg(F.sum("n_chars").alias("n"))
+    return sums.select("lane", "n", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy(F.lit(1))), 1).alias("pct"))
+
+
+@add("a11_language_shares", """SELECT source, lang, CAST(round_even(100.0 * n / sum(n) OVER (PARTITION BY source), 0) AS BIGINT) AS pct FROM (SELECT source, coalesce(lang, 'und') AS lang, count(*) AS n FROM documents GROUP BY 1, 2)""")
+def language_shares(s, d):
+    n = docs(s, d).groupBy("source", F.coalesce("lang", F.lit("und")).alias("lang")).agg(F.count("*").alias("n"))
+    return n.select("source", "lang", F.bround(100.0 * F.col("n") / F.sum("n").over(W.partitionBy("source")), 0).cast("long").alias("pct"))
+
+
+@add("a12_collapsed_values", "SELECT source, string_agg(l, '; ' ORDER BY l) AS licenses FROM (SELECT DISTINCT source, license_class AS l FROM documents WHERE license_class IS NOT NULL) GROUP BY 1")
+def collapsed(s, d):
+    return docs(s, d).where("license_class IS NOT NULL").groupBy("source").agg(F.concat_ws("; ", F.array_sort(F.collect_set("license_class"))).alias("licenses"))
+
+
+@add("a13_k10_digests", "SELECT doc_id, sha256(text) AS digest, substr(sha256(text), 1, 12) AS short FROM documents")
+def digests(s, d):
+    return docs(s, d).select("doc_id", F.sha2("text", 256).alias("digest"), F.substring(F.sha2("text", 256), 1, 12).alias("short"))
+
+
+@add("s6_w4_shards", """SELECT shard_no, count(*) AS n_rows, CAST(sum(n_chars) AS BIGINT) AS n_chars, min(doc_id) AS first_id, max(doc_id) AS last_id
+FROM (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS shard_no FROM documents) GROUP BY 1""")
+def shards(s, d):
+    rows = minhash.dense_rank_shards(docs(s, d).select("doc_id", "n_chars"), ["doc_id"], 200)
+    return rows.groupBy("shard_no").agg(F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+
+
+@add("s17_o3_latest_counts", """SELECT doc_id, token_count FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY loaded_at DESC, token_count DESC NULLS LAST) AS r FROM doc_manifest) WHERE r = 1""")
+def latest_counts(s, d):
+    return corpus.latest(table(s, d, "doc_manifest"), ["doc_id"], "loaded_at", ["token_count"]).select("doc_id", "token_count")
+
+
+@add("s1_s4_s5_p1_p2_tagged", "SELECT doc_id, text, 'web' AS track FROM documents WHERE lane = 'web'")
+def tagged(s, d):
+    rows = docs(s, d).where("lane = 'web'").select("doc_id", F.col("text").alias("content"))
+    return tag(with_text(rows), track="web")
+
+
+@add("s17_upsert", "SELECT source, max(n_chars) AS n_chars, 2 AS at FROM documents GROUP BY 1")
+def upserted(s, d):
+    rows = docs(s, d).groupBy("source").agg(F.max("n_chars").alias("n_chars"))
+    old = rows.select("source", F.lit(0).cast("long").alias("n_chars"), F.lit(1).alias("at"))
+    return upsert(old, rows.select("source", "n_chars", F.lit(2).alias("at")), "source", "at").select("source", "n_chars", "at")
+
+
+@add("u1_u2_union_distinct", "SELECT DISTINCT lang FROM (SELECT lang FROM documents UNION ALL SELECT lang_code FROM prose_cleaned)")
+def union_distinct(s, d):
+    return docs(s, d).select("lang").unionByName(prose(s, d).select(F.col("lang_code").alias("lang"))).distinct()
+
+
+@add("u4_repeated_batches", "SELECT run_id, step, shard_id, count(*) AS n FROM training_log GROUP BY 1, 2, 3 HAVING count(*) > 1")
+def repeated_batches(s, d):
+    return table(s, d, "training_log").groupBy("run_id", "step", "shard_id").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@add("x1_x2_sample", """SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id) AS r FROM documents) WHERE r <= 20""")
+def sample(s, d):
+    return corpus.seeded_sample(docs(s, d).select("doc_id", "lang"), "doc_id", "lang", 20)
+
+
+def _grams_sql(key: str, source: str) -> str:
+    return f"""SELECT DISTINCT {key} AS k, array_to_string(x, ' ') AS g FROM (SELECT {key}, unnest(list_transform(range(1, greatest(2, len(w) - 11)), lambda i: w[i:i + 12])) AS x
+ FROM (SELECT {key}, {WORDS} AS w FROM {source}) WHERE len(w) > 0)"""
+
+
+@add("j1_k6_k7_shared_grams", f"WITH d AS ({_grams_sql('doc_id', 'documents')}), e AS ({_grams_sql('item_id', 'eval_items')}) SELECT DISTINCT d.k AS doc_id FROM d WHERE g IN (SELECT g FROM e)")
+def shared_grams(s, d):
+    held = corpus.word_grams(table(s, d, "eval_items"), "item_id", "text").select("gram").distinct()
+    return corpus.word_grams(docs(s, d), "doc_id", "text").join(held, "gram", "left_semi").select("doc_id").distinct()
+
+
+@add("j6_dangling_references", "SELECT DISTINCT m.doc_id FROM doc_manifest m WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = m.doc_id)")
+def dangling(s, d):
+    return table(s, d, "doc_manifest").select("doc_id").distinct().join(docs(s, d).select("doc_id"), "doc_id", "left_anti")
+
+
+@add("v6_parents_resolved", "SELECT r.shard_id, p.parent, s.shard_id IS NOT NULL AS known FROM (SELECT DISTINCT shard_id, unnest(parent_manifest_ids) AS parent FROM registry_manifest) p JOIN (SELECT DISTINCT shard_id FROM registry_manifest) r ON r.shard_id = p.shard_id LEFT JOIN (SELECT DISTINCT shard_id FROM shard_manifest) s ON s.shard_id = p.parent")
+def parents(s, d):
+    p = table(s, d, "registry_manifest").select("shard_id", F.explode("parent_manifest_ids").alias("parent")).distinct()
+    known = table(s, d, "shard_manifest").select(F.col("shard_id").alias("parent"), F.lit(True).alias("known")).distinct()
+    return p.join(known, "parent", "left").select("shard_id", "parent", F.coalesce("known", F.lit(False)).alias("known"))
+
+
+# ---- sequences, schedules, losses -------------------------------------------------------------------------------
+@add("k1_units", """SELECT doc_id, u AS unit_no, CASE WHEN least(2048, n - u * 2048) = 2048 THEN 'full' ELSE 'rest' END AS kind, u * 2048 AS start, least(2048, n - u * 2048) AS length
+FROM (SELECT doc_id, n, unnest(range(0, CAST(ceil(n / 2048) AS BIGINT))) AS u FROM (SELECT doc_id, strlen(text) + 1 AS n FROM documents))""")
+def token_units(s, d):
+    return sequences.units(docs(s, d).select("doc_id", F.octet_length("text").alias("n_tokens")), "doc_id", "n_tokens")
+
+
+@add("k3_k4_k11_sequences", """WITH u AS (SELECT doc_id, lane, unnest(range(0, CAST(ceil(n / 2048) AS BIGINT))) AS i, n FROM (SELECT doc_id, lane, strlen(text) + 1 AS n FROM documents))
+SELECT lane, count(*) AS n_sequences, CAST(sum(least(2048, n - i * 2048)) AS BIGINT) AS real_tokens, round(sum(least(2048, n - i * 2048)) / (count(*) * 2048), 6) AS fill FROM u GROUP BY 1""")
+def unpacked(s, d):
+    u = sequences.units(docs(s, d).select("doc_id", F.octet_length("text").alias("n_tokens")), "doc_id", "n_tokens").join(docs(s, d).select("doc_id", "lane"), "doc_id")
+    seq = u.select("lane", sequences.sequence_arrays(F.col("length"), F.col("doc_id"), 2048, 256).alias("a"))
+    real = F.aggregate("a.loss_mask", F.lit(0), lambda t, x: t + x)
+    sums = seq.groupBy("lane").agg(F.count("*").alias("n_sequences"), F.sum(real.cast("long")).alias("real_tokens"))
+    return sums.withColumn("fill", F.round(F.col("real_tokens") / (F.col("n_sequences") * 2048), 6))
+
+
+_SHARDS = "SELECT CASE lane WHEN 'web' THEN 2 WHEN 'indic' THEN 1 ELSE 3 END AS turn, lane, source, count(*) AS n FROM documents GROUP BY 1, 2, 3"
+_SCHEDULE = f"""SELECT row_number() OVER (ORDER BY k, turn) - 1 AS seq, lane, source, i * 4 AS first_row FROM (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY source, i) - 1 AS k FROM
+ (SELECT turn, lane, source, unnest(range(0, n // 4)) AS i FROM ({_SHARDS})))"""
+
+
+def _batches(s, d):
+    shards = docs(s, d).groupBy("lane", "source").agg(F.count("*").alias("n"))
+    return sequences.schedule(shards, "lane", "source", "n", 4, ["indic", "web", "code"])
+
+
+@add("l1_l2_schedule", _SCHEDULE)
+def schedule(s, d):
+    return _batches(s, d)
+
+
+@add("l3_resume", f"SELECT * FROM ({_SCHEDULE}) WHERE seq > 100")
+def resume(s, d):
+    return _batches(s, d).where("seq > 100")
+
+
+@add("l4_masked_loss", "SELECT run_id, lane, round(sum(CASE WHEN loss IS NULL THEN 0 ELSE loss END) / greatest(sum(CASE WHEN loss IS NULL THEN 0 ELSE 1 END), 1), 6) AS mean_loss FROM training_log GROUP BY 1, 2")
+def masked_loss(s, d):
+    mask = F.col("loss").isNotNull().cast("int")
+    return table(s, d, "training_log").groupBy("run_id", "lane").agg(F.round(sequences.masked_mean(F.coalesce("loss", F.lit(0.0)), mask), 6).alias("mean_loss"))
+
+
+@add("l6_o3_latest_checkpoint", "SELECT run_id, max(global_step) AS global_step FROM checkpoint_manifest GROUP BY 1")
+def latest_checkpoint(s, d):
+    return table(s, d, "checkpoint_manifest").groupBy("run_id").agg(F.max("global_step").alias("global_step"))
+
+
+@add("v1_v10_checks", """SELECT 'lanes_not_empty' AS check_name, count(DISTINCT lane) = 3 AS passed FROM documents UNION ALL SELECT 'unique_keys', count(*) = count(DISTINCT doc_id) FROM documents
+UNION ALL SELECT 'positive_counts', coalesce(bool_and(token_count > 0), true) FROM doc_manifest UNION ALL SELECT 'counts_follow_text', bool_and(n_chars = length(text)) FROM documents""")
+def checks(s, d):
+    t = docs(s, d)
+    one = lambda n, df, c: df.agg(c.alias("passed")).select(F.lit(n).alias("check_name"), "passed")
+    parts = [
+        one("lanes_not_empty", t, F.countDistinct("lane") == 3),
+        one("unique_keys", t, F.count("*") == F.countDistinct("doc_id")),
+        one("positive_counts", table(s, d, "doc_manifest"), F.coalesce(F.every(F.col("token_count") > 0), F.lit(True))),
+        one("counts_follow_text", t, F.every(F.col("n_chars") == F.length("text"))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@add("flagship", None)
+def flagship(s: SparkSession, d: str) -> DataFrame:
+    """Clean, score, drop near copies, route, redact: what is left of every lane and folder."""
+    c = F.col("text")
+    scored = docs(s, d).select("doc_id", "lane", tx.clean_text(c).alias("text"))
+    scored = materialize(scored.where((F.size(tx.words(c)) >= 20) & (quality.symbol_ratio(c) <= 0.1)), "flagship")
+    kept = minhash.survivors(scored, "doc_id", "text").where("keep").select("doc_id")
+    rows = scored.join(kept, "doc_id")
+    routed = corpus.route_by_script(rows, "doc_id", "text").select("doc_id", "folder")
+    red = rows.join(routed, "doc_id").select("lane", "folder", F.regexp_count(pii.redact(c), F.lit(r"\[(URL|EMAIL|IP|PAN|PHONE|AADHAAR|CREDIT_CARD)\]")).alias("r"))
+    return red.groupBy("lane", F.coalesce("folder", F.lit("discarded")).alias("folder")).agg(F.count("*").alias("n_docs"), F.sum("r").alias("n_redactions"))
+
+
+def queries() -> dict[str, Query]:
+    return {k: f for k, (f, _) in CATALOG.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: q for k, (_, q) in CATALOG.items() if q}
