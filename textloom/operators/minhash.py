@@ -1,12 +1,16 @@
-"""MinHash signatures with built-in functions, banding, verified edges against bucket heads, survivors."""
+"""MinHash signatures (vectorised in Arrow batches), banding, verified edges against bucket heads, survivors."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textloom.functions.text import words
 from textloom.operators.components import connected_components
 from textloom.storage import materialize
 
@@ -30,22 +34,24 @@ def coefficients(n: int, seed: int = 42) -> list[tuple[int, int]]:
     return out
 
 
-def shingles(text: Column, k: int = 5) -> Column:
+def shingles(text: str, k: int = 5) -> np.ndarray:
     """Distinct hashes (below PRIME) of the runs of k words; a shorter text is one run, an empty one none."""
-    w = words(text)
-    at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - k + 1))
-    runs = F.transform(at, lambda i: F.conv(F.substring(F.md5(F.concat_ws(" ", F.slice(w, i, k))), 1, 15), 16, 10).cast("long") % PRIME)
-    return F.when(F.size(w) > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+    w = text.split()
+    runs = {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else ()
+    return np.array([int.from_bytes(hashlib.blake2b(r.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") % PRIME for r in runs], np.int64)
 
 
 def signatures(df: DataFrame, key: str, text: str, n: int = 128, k: int = 5) -> DataFrame:
     """(key, sig) of every text with words."""
-    rows = df.select(key, shingles(F.coalesce(text, F.lit("")), k).alias("s")).where(F.size("s") > 0)
+    pairs = coefficients(n)
 
-    def least(a: int, b: int) -> Column:
-        return F.array_min(F.transform("s", lambda x: (x * F.lit(a).cast("long") + F.lit(b).cast("long")) % F.lit(PRIME)))
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def least(texts: pd.Series) -> pd.Series:
+        a, b = (np.array(x, np.int64)[:, None] for x in zip(*pairs, strict=True))
+        sets = (shingles(t or "", k) for t in texts)
+        return pd.Series([((a * s[None, :] + b) % PRIME).min(1) if len(s) else None for s in sets], dtype=object)
 
-    return rows.select(key, F.array(*[least(a, b) for a, b in coefficients(n)]).alias("sig"))
+    return df.select(key, least(F.col(text)).alias("sig")).where("sig IS NOT NULL")
 
 
 def verified_edges(sigs: DataFrame, key: str, n: int = 128, threshold: float = 0.8) -> DataFrame:
