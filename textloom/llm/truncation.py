@@ -29,8 +29,9 @@ BROADCAST_FORMS = 1_000_000
 OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?))+\s*$"
 # A tag that the end of a text cuts open; what stands before it is judged.
 OPEN_TAG = r"\s*<[a-zA-Z/][^<>]*$"
-# Stops that end a sentence; a finished one has three letters, a bracket or a quote before a full stop.
-SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
+# Stops that end a sentence; a finished one has three letters, a word and a
+# number, a bracket or a quote before a full stop.
+SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|\p{L}\p{M}* \p{Nd}+|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
 
 # Runs of ASCII digits and of the Indic scripts' digits.
 DIGITS = "[0-9०-९০-৯੦-੯૦-૯୦-୯௦-௯౦-౯೦-೯൦-൯]+"
