@@ -85,6 +85,14 @@ def test_cut_texts(spark):
     assert got[100] and not any(got.get(i) for i in (*range(60), 101, 102)) and 103 not in got
 
 
+def test_cut_words_do_not_vouch_for_each_other(spark):
+    whole = [(i, f"The board met in town {i}. Now the roads of towns are open to all of us{' and so on' * (i % 7)}.", "web") for i in range(300)]
+    cut = [(1000 + i, f"The council of ward{'abcdef'[i]} sat. Now the roads of t", "web") for i in range(6)]
+    signed = [(2000 + i, f"The council of ward{'abcdef'[i]} sat late.\n-30-", "web") for i in range(6)] + [(3000 + i, f"The board met late.\nTown {'abcdef'[i]}", "web") for i in range(6)]
+    got = {r.id: r.cut for r in truncation.cut_texts(spark.createDataFrame(whole + cut + signed, "id long, t string, lane string"), "id", "t", "lane").collect()}
+    assert all(got[1000 + i] for i in range(6)) and not any(got[i] for i in (*range(300), *range(2000, 2006)))
+
+
 def test_boosted_trees_and_calibration():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 5))

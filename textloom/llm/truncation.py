@@ -18,7 +18,8 @@ from textloom.storage import materialize
 
 #: Least number of places for a form to be trusted, and the largest share of ends among them.
 SUPPORT, SHARE = 12, 0.04
-#: So many different texts that end in a form make it trusted, however rare it is inside.
+#: A form that is rare inside is trusted if more different texts than this end in it, more than there are
+#: places inside that have the form or go on with a longer word where it has its third one (a cut word).
 KNOWN_ENDS = 3
 #: The largest share for texts that stop at a line break, where places are far more than blocks.
 LINE_SHARE = 0.005
@@ -67,7 +68,8 @@ BLOCK, LINE = _LAST.format(n=6), _LAST.format(n=7)
 
 def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None) -> DataFrame:
     """(id, content, sentences, forms): of every text, its final trigram's forms, in order,
-    each with ``inside`` (places inside texts, all rows) and ``ends`` (distinct texts that end so).
+    each with ``inside`` (places inside texts, all rows), ``ends`` (distinct texts that end so) and, for first
+    forms that more than KNOWN_ENDS texts end in, ``longer`` (places inside with a longer third word).
 
     Ends are counted over distinct texts, so copies of one cut text do not vouch for each other. Null
     texts have no row; texts under three words are padded.
@@ -86,7 +88,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     ).createOrReplaceTempView(f"words_{tag}")
     last = spark.sql(
         f"""
-        SELECT id, content, sentences, CASE WHEN kz = 'S' THEN cast(array() AS array<bigint>) WHEN z = '⏎⏎' THEN array({BLOCK}, {LINE}) ELSE array({', '.join(FORMS)}) END AS forms
+        SELECT id, content, sentences, CASE WHEN kz = 'S' THEN cast(array() AS array<bigint>) WHEN z = '⏎⏎' THEN array({BLOCK}, {LINE}) ELSE array({', '.join(FORMS)}) END AS forms, xxhash64(2, kx, y) AS place, z
         FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky, {_kind('z')} AS kz
               FROM (SELECT id, content, code, sentences, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z FROM words_{tag}))"""
     )
@@ -94,20 +96,31 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     last.createOrReplaceTempView(f"last_{tag}")
     ends = materialize(spark.sql(f"SELECT f, count(DISTINCT content) AS ends FROM (SELECT explode(forms) AS f, content FROM last_{tag}) GROUP BY f"), "p8-ends")
     ends.createOrReplaceTempView(f"ends_{tag}")
+    stems = spark.sql(
+        f"""
+        SELECT place, collect_set(struct(z, xxhash64(5, f) AS f)) AS stems
+        FROM (SELECT l.place, l.z, get(l.forms, 0) AS f FROM last_{tag} l JOIN ends_{tag} e ON get(l.forms, 0) = e.f WHERE e.ends > {KNOWN_ENDS} AND l.z NOT IN ('⏎', '⏎⏎', '^')) GROUP BY place"""
+    )
+    stems = materialize(stems, "p8-stems")
+    stems.createOrReplaceTempView(f"stems_{tag}")
     hint = "/*+ BROADCAST(e) */" if ends.count() <= BROADCAST_FORMS else ""
+    near = "/*+ BROADCAST(s) */" if stems.count() <= BROADCAST_FORMS else ""
     counted = spark.sql(
         f"""
         WITH grams AS (
-            SELECT explode(CASE WHEN z IN ('⏎', '⏎⏎') THEN array({', '.join(FORMS)}, {LINE}, if(z = '⏎⏎', {BLOCK}, 0)) ELSE array({', '.join(FORMS)}) END) AS f
+            SELECT {near} explode(CASE WHEN z IN ('⏎', '⏎⏎') THEN array({', '.join(FORMS)}, {LINE}, if(z = '⏎⏎', {BLOCK}, 0))
+                WHEN s.stems IS NOT NULL THEN concat(array({', '.join(FORMS)}), transform(filter(s.stems, t -> startswith(z, t.z) AND z <> t.z), t -> t.f)) ELSE array({', '.join(FORMS)}) END) AS f
             FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky
-                  FROM (SELECT code, t.x, t.y, t.z FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 3), slice(w, 2, size(w) - 3), slice(w, 3, size(w) - 3))) t AS x, y, z))),
-        inner_grams AS (SELECT {hint} g.f, count(*) AS inside FROM grams g LEFT SEMI JOIN ends_{tag} e ON g.f = e.f GROUP BY g.f)
-        SELECT e.f, e.ends, coalesce(i.inside, 0) AS inside FROM ends_{tag} e LEFT JOIN inner_grams i ON e.f = i.f"""
+                  FROM (SELECT code, t.x, t.y, t.z FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 3), slice(w, 2, size(w) - 3), slice(w, 3, size(w) - 3))) t AS x, y, z)) g LEFT JOIN stems_{tag} s ON xxhash64(2, g.kx, g.y) = s.place),
+        wanted AS (SELECT f, f AS form, ends FROM ends_{tag} UNION ALL SELECT xxhash64(5, f), f, NULL FROM ends_{tag} WHERE ends > {KNOWN_ENDS}),
+        inner_grams AS (SELECT {hint} g.f, count(*) AS inside FROM grams g LEFT SEMI JOIN wanted e ON g.f = e.f GROUP BY g.f)
+        SELECT e.form AS f, max(e.ends) AS ends, coalesce(sum(i.inside) FILTER (WHERE e.ends IS NOT NULL), 0) AS inside, coalesce(sum(i.inside) FILTER (WHERE e.ends IS NULL), 0) AS longer
+        FROM wanted e LEFT JOIN inner_grams i ON e.f = i.f GROUP BY e.form"""
     )
     materialize(counted, "p8-counts").createOrReplaceTempView(f"counts_{tag}")
     return spark.sql(
         f"""
-        SELECT l.id, l.content, l.sentences, array_sort(filter(collect_list(struct(l.form, c.inside, c.ends)), f -> f.form IS NOT NULL)) AS forms
+        SELECT l.id, l.content, l.sentences, array_sort(filter(collect_list(struct(l.form, c.inside, c.ends, c.longer)), f -> f.form IS NOT NULL)) AS forms
         FROM (SELECT id, content, sentences, posexplode_outer(forms) AS (form, f) FROM last_{tag}) l
         LEFT JOIN counts_{tag} c ON l.f = c.f GROUP BY l.id, l.content, l.sentences"""
     )
@@ -116,7 +129,8 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
 def cut_texts(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
     """(id, cut): whether each text that is not null stops before its end.
 
-    The first form with ``support`` places inside texts, or KNOWN_ENDS other texts that end so, decides:
+    The first form with ``support`` places inside texts, or with more texts that end so than KNOWN_ENDS and than
+    places inside where the text goes on (sign-offs, not cut words), decides:
     the text is cut if other texts end so in at most ``share`` of its places. Prose without any finished sentence (headings, lists, tables) counts
     as complete; for rows whose lane is ``code`` that guard does not apply. Ids of repeated rows with
     equal texts give one row.
@@ -127,5 +141,5 @@ def cut_texts(df: DataFrame, id_col: str, text_col: str, lane_col: str | None =
     return spark.sql(
         f"""
         SELECT id, sentences AND coalesce(form.ends - 1 <= CASE size(forms) WHEN 2 THEN {LINE_SHARE} ELSE {share} END * form.inside, false) AS cut, forms
-        FROM (SELECT *, get(filter(forms, f -> f.inside >= {support} OR f.ends > {KNOWN_ENDS}), 0) AS form FROM looked_{tag})"""
+        FROM (SELECT *, get(filter(forms, f -> f.inside >= {support} OR f.ends > {KNOWN_ENDS} AND f.ends > f.inside + f.longer), 0) AS form FROM looked_{tag})"""
     )
