@@ -93,6 +93,13 @@ def test_cut_words_do_not_vouch_for_each_other(spark):
     assert all(got[1000 + i] for i in range(6)) and not any(got[i] for i in (*range(300), *range(2000, 2006)))
 
 
+def test_prose_cut_in_its_only_sentence(spark):
+    whole = [(i, f"The board met in town {i}. Now the board of the town opened the road to all of us.", "web") for i in range(100)]
+    odd = [(200, "Now the board of the town opened the", "web"), (201, "The Road to the Town", "web"), (202, "the board 5 kg, the town, the road / opened the, of the\n| the board | of | the |", "web")]
+    got = {r.id: r.cut for r in truncation.cut_texts(spark.createDataFrame(whole + odd, "id long, t string, lane string"), "id", "t", "lane").collect()}
+    assert got[200] and not got[201] and not got[202] and not any(got[i] for i in range(100))
+
+
 def test_boosted_trees_and_calibration():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 5))

@@ -34,6 +34,11 @@ OPEN_TAG = r"\s*<[a-zA-Z/][^<>]*$"
 # number, a bracket or a quote before a full stop.
 SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|\p{L}\p{M}* \p{Nd}+|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
 
+# Running prose: seven words of two letters or more, single letters and numbers between them aside, without
+# a line break or a sign that sets items or cells apart.
+_WORD = r"\p{L}[\p{L}\p{M}\x{200c}\x{200d}\x27’-]+"
+PROSE = rf"({_WORD}[ \xa0]+((\p{{Nd}}+|\p{{L}}\p{{M}}*)[ \xa0]+)?){{{{6}}}}\p{{L}}[\p{{L}}\p{{M}}]".replace("{{", "{").replace("}}", "}")
+
 # Runs of ASCII digits and of the Indic scripts' digits.
 DIGITS = "[0-9०-९০-৯੦-੯૦-૯୦-୯௦-௯౦-౯೦-೯൦-൯]+"
 # Signs that may follow a stop, and signs that numbers are written with.
@@ -79,7 +84,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
     df.selectExpr(f"cast({id_col} AS bigint) AS id", f"{text_col} AS txt", (f"coalesce({lane_col} = 'code', false)" if lane_col else "false") + " AS code").createOrReplaceTempView(f"src_{tag}")
     spark.sql(
         rf"""
-        SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' AS sentences
+        SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' OR txt RLIKE r'{PROSE}' AS sentences
         FROM (SELECT id, txt, code, array_remove(split(replace(replace(replace(replace(replace(replace(regexp_replace(whole, '{DIGITS}', '#'), '\r\n', '\n'), '\n\n', ' ⏎⏎ '), '\n', ' ⏎ '), '\t', ' '), '\r', ' '), chr(160), ' '), ' '), '') AS w
               FROM (SELECT *, CASE WHEN right(shut, 1) = chr(10) THEN concat(shut, chr(10))
                                    WHEN right(shut, 60) RLIKE r'{OMISSION}' THEN regexp_replace(shut, r'{OMISSION}', '') ELSE shut END AS whole
@@ -131,8 +136,9 @@ def cut_texts(df: DataFrame, id_col: str, text_col: str, lane_col: str | None =
 
     The first form with ``support`` places inside texts, or with more texts that end so than KNOWN_ENDS and than
     places inside where the text goes on (sign-offs, not cut words), decides:
-    the text is cut if other texts end so in at most ``share`` of its places. Prose without any finished sentence (headings, lists, tables) counts
-    as complete; for rows whose lane is ``code`` that guard does not apply. Ids of repeated rows with
+    the text is cut if other texts end so in at most ``share`` of its places. A text without any finished sentence and without
+    running prose (headings, lists, tables: no seven words in a row) counts as complete; for rows whose lane is
+    ``code`` that guard does not apply. Ids of repeated rows with
     equal texts give one row.
     """
     spark = df.sparkSession
