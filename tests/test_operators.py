@@ -36,6 +36,17 @@ def test_minhash(spark):
     assert kept == {1: (1, False), 2: (1, True), 3: (3, True), 4: (4, True), 5: (5, True)}
 
 
+def test_minhash_meets_pairs_at_the_threshold(spark):
+    texts = []
+    for i in range(30):
+        w = [f"w{i}x{j}" for j in range(200)]
+        texts += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:50] + ["new"] + w[51:100] + ["new"] + w[101:150] + ["new"] + w[151:]))]
+    texts += [(100 + i, " ".join(f"v{j}" if j % 20 else f"v{j}y{i}" for j in range(200))) for i in range(2)]  # 0.6
+    df = spark.createDataFrame(texts, "id long, text string")
+    got = {r.id: r.cluster for r in minhash.survivors(df, "id", "text").collect()}
+    assert all(got[2 * i + 1] == 2 * i for i in range(30)) and got[100] == 100 and got[101] == 101
+
+
 def test_sequences(spark):
     df = spark.createDataFrame([(1, 2047), (2, 2048), (3, 0), (4, None)], "id long, n long")
     assert rows(sequences.units(df, "id", "n").select("id", "kind", "length")) == [(1, "full", 2048), (2, "full", 2048), (2, "rest", 1), (3, "rest", 1)]

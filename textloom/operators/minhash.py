@@ -1,4 +1,4 @@
-"""MinHash signatures (vectorised in Arrow batches), banding, verified edges against bucket heads, survivors."""
+"""MinHash signatures (vectorised in Arrow batches), banding, exactly verified links, survivors."""
 
 from __future__ import annotations
 
@@ -34,10 +34,15 @@ def coefficients(n: int, seed: int = 42) -> list[tuple[int, int]]:
     return out
 
 
-def shingles(text: str, k: int = 5) -> np.ndarray:
-    """Distinct hashes (below PRIME) of the runs of k words; a shorter text is one run, an empty one none."""
+def runs_of(text: str, k: int = 5) -> set[str]:
+    """Distinct runs of k words; a shorter text is one run, an empty one none."""
     w = text.split()
-    runs = {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else ()
+    return {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def shingles(text: str, k: int = 5) -> np.ndarray:
+    """Hashes (below PRIME) of the distinct runs of k words."""
+    runs = runs_of(text, k)
     return np.array([int.from_bytes(hashlib.blake2b(r.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") % PRIME for r in runs], np.int64)
 
 
@@ -69,11 +74,38 @@ def verified_edges(sigs: DataFrame, key: str, n: int = 128, threshold: float = 0
     return pairs.join(a, "head").join(b, "member").where(same >= threshold * n).select("head", "member")
 
 
-def survivors(df: DataFrame, key: str, text: str, n: int = 128, threshold: float = 0.8) -> DataFrame:
+@F.pandas_udf(T.DoubleType())
+def _similarity(x: pd.Series, y: pd.Series) -> pd.Series:
+    """Exact similarity of the sets of five-word runs."""
+    sets = {t: runs_of(t) for t in {*x, *y}}
+    return pd.Series([len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])) for a, b in zip(x, y, strict=True)])
+
+
+def exact_edges(df: DataFrame, sigs: DataFrame, key: str, text: str, threshold: float = 0.8, rows: int = 4) -> DataFrame:
+    """(head, member): texts whose exact similarity reaches the threshold.
+
+    Equal signatures form a class, whose least key alone is compared with other classes; in bands of
+    ``rows`` values every two classes of a bucket are compared (128 values at 0.8: all but 5e-8 of pairs meet).
+    """
+    marked = materialize(sigs.select(key, "sig", F.md5(F.concat_ws(",", "sig")).alias("m")), "marked")
+    heads = marked.groupBy("m").agg(F.min(key).alias("head"))
+    same = marked.join(heads, "m").where(F.col("head") != F.col(key)).select("head", F.col(key).alias("member"))
+    own = marked.join(heads.select(F.col("head").alias(key)), key, "left_semi")
+    bands = F.transform(F.sequence(F.lit(0), F.floor(F.size("sig") / rows).cast("int") - 1), lambda i: F.xxhash64(i, F.slice("sig", i * rows + 1, rows)))
+    buckets = own.select(key, F.explode(bands).alias("bucket"))
+    a, b = buckets.select(F.col(key).alias("head"), "bucket"), buckets.select(F.col(key).alias("member"), "bucket")
+    pairs = materialize(a.join(b, "bucket").where("head < member").select("head", "member").distinct().union(same), "minhash-pairs")
+    texts = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(pairs.select(F.explode(F.array("head", "member")).alias("_k")).distinct(), "_k", "left_semi")
+    both = pairs.join(texts.select(F.col("_k").alias("head"), F.col("_t").alias("x")), "head").join(texts.select(F.col("_k").alias("member"), F.col("_t").alias("y")), "member")
+    return both.where(_similarity("x", "y") >= threshold).select("head", "member")
+
+
+def survivors(df: DataFrame, key: str, text: str, n: int = 128, threshold: float = 0.8, parity: bool = False) -> DataFrame:
     """(key, cluster, keep): every row, its cluster (least key), and whether it is the cluster's longest text
-    (ties: least key). Rows without words are clusters of their own and stay."""
+    (ties: least key). Rows without words are clusters of their own and stay. ``parity``: the reference's banding, bucket
+    heads and estimated similarity instead of exact links."""
     sigs = materialize(signatures(df, key, text, n), "signatures")
-    parts = connected_components(verified_edges(sigs, key, n, threshold), "head", "member")
+    parts = connected_components(verified_edges(sigs, key, n, threshold) if parity else exact_edges(df, sigs, key, text, threshold), "head", "member")
     rows = df.select(key, F.length(F.coalesce(text, F.lit(""))).alias("len")).join(parts.select(F.col("node").alias(key), "component"), key, "left")
     rows = rows.select(key, "len", F.coalesce("component", key).alias("cluster"))
     best = rows.groupBy("cluster").agg(F.max(F.struct(F.col("len"), (-F.col(key)).alias("k"))).alias("b"))
