@@ -47,6 +47,16 @@ def test_minhash_meets_pairs_at_the_threshold(spark):
     assert all(got[2 * i + 1] == 2 * i for i in range(30)) and got[100] == 100 and got[101] == 101
 
 
+def test_rule_drops_count_every_rule(spark, tmp_path):
+    fine = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)} runs" if i % 2 else f"so{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    bad = {"term": "the cat " * 20, "lines": "a line of seven different words here\n" * 8, "paragraphs": (fine + "\n\n") * 2}
+    texts = [(i, "web", f"{fine} number{chr(97 + i)}", "en", "web") for i in range(20)] + [(50 + i, "web", t, "en", "web") for i, t in enumerate(bad.values())] + [(90, "web", fine + " talk", "en", "speech")]
+    spark.createDataFrame(texts, "doc_id long, lane string, text string, lang string, doc_type string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalog.queries()["q16_p4_p7_rule_drops"](spark, str(tmp_path)).first().asDict()
+    assert len(got) == 15 and got["total"] == 24 and got["drop_source_type"] == 1 and got["drop_term"] >= 1 and got["drop_lines"] >= 1 and got["drop_paragraphs"] == 1 and got["kept"] <= 20
+    assert "ease" in catalog.queries()["q15_w1_quantile_band"](spark, str(tmp_path)).columns
+
+
 def test_sequences(spark):
     df = spark.createDataFrame([(1, 2047), (2, 2048), (3, 0), (4, None)], "id long, n long")
     assert rows(sequences.units(df, "id", "n").select("id", "kind", "length")) == [(1, "full", 2048), (2, "full", 2048), (2, "rest", 1), (3, "rest", 1)]

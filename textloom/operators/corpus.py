@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from textloom.functions import quality
 from textloom.functions.text import STRIP, WORD, block, words
+from textloom.storage import materialize
 
 # The folder of each target script.
 FOLDERS = {"Devanagari": "hindi", "Bengali": "bengali", "Tamil": "tamil", "Telugu": "telugu", "Latin": "english"}
@@ -53,6 +55,28 @@ def quantile_band(df: DataFrame, key: str, group: str, value: str, low: float =
     return df.select(key, group, value).join(bands, F.col(group).eqNullSafe(F.col("_g"))).select(key, group, value, F.coalesce((F.col(value) >= F.col("q")[0]) & (F.col(value) <= F.col("q")[1]), F.lit(False)).alias("keep"))
 
 
+def quality_rules(df: DataFrame, key: str, text: str, lang: str, kind: str) -> DataFrame:
+    """(key, one boolean a rule): whether each text passes each of the eleven metric rules and the rule on its
+    source type; a missing value fails its rule. Every rule is judged over all rows, whatever the others say."""
+    df = df.select(F.col(key).alias("_k"), F.coalesce(text, F.lit("")).alias("_t"), F.col(lang).alias("_lang"), F.col(kind).alias("_kind"))
+    c = F.col("_t")
+    own = df.select(
+        "_k", "_lang", "_kind", F.size(words(c)).alias("n"), quality.mean_word_length(c).alias("m"), quality.symbol_ratio(c).alias("y"),
+        quality.difficulty_ratio(c).alias("d"), quality.reading_ease(c).alias("ease"), quality.lexical_diversity("_t").alias("v"),
+    )
+    rows = materialize(own, "quality")
+    shares = {"two": top_gram_share(df, "_k", "_t", 2), "one": top_gram_share(df, "_k", "_t", 1), "lines": repeated_share(df, "_k", "_t", "\n"), "paragraphs": repeated_share(df, "_k", "_t", "\n\n"), "boiler": boilerplate_share(df, "_k", "_t")}
+    rows = rows.join(quantile_band(rows, "_k", "_lang", "ease").select("_k", F.col("keep").alias("band")), "_k")
+    for name, share in shares.items():
+        rows = rows.join(share.select("_k", F.col("share").alias(name)), "_k")
+    rules = {
+        "words": F.col("n").between(20, 100000), "mean": F.col("m").between(1.5, 20), "symbols": F.col("y") <= 0.1, "top_2gram": F.col("two") <= 0.2,
+        "diversity": F.col("v") >= 10, "ease": F.col("band"), "difficulty": F.col("d") <= 0.6, "term": F.col("one") <= 0.15,
+        "lines": F.col("lines") <= 0.3, "paragraphs": F.col("paragraphs") <= 0.3, "boilerplate": F.col("boiler") <= 0.3, "source_type": F.col("_kind").isin("web", "pdf"),
+    }
+    return rows.select(F.col("_k").alias(key), *[F.coalesce(r, F.lit(False)).alias(k) for k, r in rules.items()])
+
+
 def route_by_script(df: DataFrame, key: str, text: str, purity: float = 0.8) -> DataFrame:
     """(key, folder, purity): the folder of the script that more than ``purity`` of all words are in, else null."""
     w = df.select(key, words(F.coalesce(text, F.lit(""))).alias("w"))

@@ -161,20 +161,26 @@ def boilerplate_share(s, d):
     return corpus.boilerplate_share(docs(s, d), "doc_id", "text").withColumn("share", F.round("share", 6))
 
 
-@add("q15_w1_quantile_band", """WITH b AS (SELECT lang, quantile_cont(n_chars, 0.02) AS lo, quantile_cont(n_chars, 0.98) AS hi FROM documents GROUP BY 1)
+@add("w1_length_band", """WITH b AS (SELECT lang, quantile_cont(n_chars, 0.02) AS lo, quantile_cont(n_chars, 0.98) AS hi FROM documents GROUP BY 1)
 SELECT doc_id, d.lang, n_chars, n_chars BETWEEN lo AND hi AS keep FROM documents d JOIN b ON d.lang IS NOT DISTINCT FROM b.lang""")
-def band(s, d):
+def length_band(s, d):
     return corpus.quantile_band(docs(s, d), "doc_id", "lang", "n_chars")
 
 
+@add("q15_w1_quantile_band", None)
+def band(s, d):
+    rows = materialize(docs(s, d).select("doc_id", "lang", quality.reading_ease(F.coalesce("text", F.lit(""))).alias("ease")), "ease")
+    return corpus.quantile_band(rows, "doc_id", "lang", "ease").withColumn("ease", F.round("ease", 4))
+
+
 _N = f"CAST(len({WORDS}) AS BIGINT)"
 
 
-@add("q16_p4_p7_rule_drops", f"""SELECT lane, count(*) AS total, CAST(sum(CASE WHEN n BETWEEN 20 AND 100000 THEN 0 ELSE 1 END) AS BIGINT) AS drop_words, CAST(sum(CASE WHEN m BETWEEN 1.5 AND 20 THEN 0 ELSE 1 END) AS BIGINT) AS drop_mean,
+@add("q16_part_three_rule_drops", f"""SELECT lane, count(*) AS total, CAST(sum(CASE WHEN n BETWEEN 20 AND 100000 THEN 0 ELSE 1 END) AS BIGINT) AS drop_words, CAST(sum(CASE WHEN m BETWEEN 1.5 AND 20 THEN 0 ELSE 1 END) AS BIGINT) AS drop_mean,
  CAST(sum(CASE WHEN y <= 0.1 THEN 0 ELSE 1 END) AS BIGINT) AS drop_symbols, CAST(sum(CASE WHEN n BETWEEN 20 AND 100000 AND m BETWEEN 1.5 AND 20 AND y <= 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS kept
 FROM (SELECT lane, len(w) AS n, CASE WHEN len(w) = 0 THEN 0 ELSE list_sum(list_transform(w, lambda x: length(x))) / len(w) END AS m, CASE WHEN len(w) = 0 THEN 0 ELSE len(regexp_extract_all(text, '{quality.SYMBOL}')) / len(w) END AS y
  FROM (SELECT *, {WORDS} AS w FROM documents)) GROUP BY 1""")
-def rule_drops(s, d):
+def three_rule_drops(s, d):
     c = F.col("text")
     rows = docs(s, d).select("lane", F.size(tx.words(c)).alias("n"), quality.mean_word_length(c).alias("m"), quality.symbol_ratio(c).alias("y"))
     rules = {"drop_words": F.col("n").between(20, 100000), "drop_mean": F.col("m").between(1.5, 20), "drop_symbols": F.col("y") <= 0.1}
@@ -183,6 +189,15 @@ def rule_drops(s, d):
     return rows.groupBy("lane").agg(F.count("*").alias("total"), *[count(~r).alias(k) for k, r in rules.items()], count(keep).alias("kept"))
 
 
+@add("q16_p4_p7_rule_drops", None)
+def rule_drops(s, d):
+    passed = corpus.quality_rules(docs(s, d), "doc_id", "text", "lang", "doc_type")
+    rules = [k for k in passed.columns if k != "doc_id"]
+    keep = F.forall(F.array(*rules), lambda r: r)
+    rows = passed.join(docs(s, d).select("doc_id", "lane"), "doc_id")
+    return rows.groupBy("lane").agg(F.count("*").alias("total"), *[F.count_if(~F.col(k)).alias(f"drop_{k}") for k in rules], F.count_if(keep).alias("kept"))
+
+
 # ---- routing, redaction -----------------------------------------------------------------------------------------
 @add("r1_r2_r3_route", None)
 def route(s, d):
@@ -431,8 +446,10 @@ def checks(s, d):
 def flagship(s: SparkSession, d: str) -> DataFrame:
     """Clean, score, drop near copies, route, redact: what is left of every lane and folder."""
     c = F.col("text")
-    scored = docs(s, d).select("doc_id", "lane", tx.clean_text(c).alias("text"))
-    scored = materialize(scored.where((F.size(tx.words(c)) >= 20) & (quality.symbol_ratio(c) <= 0.1)), "flagship")
+    scored = materialize(docs(s, d).select("doc_id", "lane", "lang", "doc_type", tx.clean_text(c).alias("text")), "flagship")
+    passed = corpus.quality_rules(scored, "doc_id", "text", "lang", "doc_type")
+    good = passed.where(F.forall(F.array(*[k for k in passed.columns if k != "doc_id"]), lambda r: r)).select("doc_id")
+    scored = materialize(scored.join(good, "doc_id", "left_semi").select("doc_id", "lane", "text"), "flagship")
     kept = minhash.survivors(scored, "doc_id", "text").where("keep").select("doc_id")
     rows = scored.join(kept, "doc_id")
     routed = corpus.route_by_script(rows, "doc_id", "text").select("doc_id", "folder")
