@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -100,6 +101,12 @@ def test_prose_cut_in_its_only_sentence(spark):
     assert got[200] and not got[201] and not got[202] and not any(got[i] for i in range(100))
 
 
+def test_near_duplicate_limits_lose_few_pairs():
+    for trials, p in ((neardup.SKETCH, 0.75 * 0.3), (neardup.SEGMENTS * neardup.SYMBOLS, 0.3)):
+        lost = 1 - sum(math.comb(trials, i) * p**i * (1 - p) ** (trials - i) for i in range(neardup._slack(trials, p) + 1))
+        assert lost < 2e-4
+
+
 def test_boosted_trees_and_calibration():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 5))

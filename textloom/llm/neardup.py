@@ -28,7 +28,7 @@ Q = 5
 SEGMENTS, SYMBOLS, ROUNDS = 10, 7, 5
 SKETCH = 28  # symbols whose low two bits go into the one-word sketch that travels with every key
 #: The complete distances allowed are this many standard deviations beyond the expectation at the threshold.
-SIGMAS = 3.0
+SIGMAS = 4.0
 #: Ids of paired texts are broadcast up to this number (16 bytes each), joined by shuffle beyond it.
 BROADCAST_IDS = 1_000_000
 
