@@ -78,6 +78,10 @@ def test_catalogue_names():
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
 
 
+def test_names_claim_no_shuffle():
+    assert "x1_sample" in catalog.queries() and not any("_x2_" in k for k in catalog.queries())
+
+
 def test_masked_mean(spark):
     df = spark.createDataFrame([(2.0, 1), (4.0, 0)], "l double, m int")
     assert df.agg(sequences.masked_mean(F.col("l"), F.col("m")).alias("r")).first().r == 2.0

@@ -349,7 +349,7 @@ def repeated_batches(s, d):
     return table(s, d, "training_log").groupBy("run_id", "step", "shard_id").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@add("x1_x2_sample", """SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id) AS r FROM documents) WHERE r <= 20""")
+@add("x1_sample", """SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id) AS r FROM documents) WHERE r <= 20""")
 def sample(s, d):
     return corpus.seeded_sample(docs(s, d).select("doc_id", "lang"), "doc_id", "lang", 20)
 
