@@ -82,6 +82,11 @@ def test_names_claim_no_shuffle():
     assert "x1_sample" in catalog.queries() and not any("_x2_" in k for k in catalog.queries())
 
 
+def test_whole_cleaning_shortens_runs(spark, tmp_path):
+    spark.createDataFrame([(1, "sooooo good")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert catalog.queries()["t7_clean_text"](spark, str(tmp_path)).first().result == "soo good"
+
+
 def test_masked_mean(spark):
     df = spark.createDataFrame([(2.0, 1), (4.0, 0)], "l double, m int")
     assert df.agg(sequences.masked_mean(F.col("l"), F.col("m")).alias("r")).first().r == 2.0

@@ -73,7 +73,8 @@ _scalar("t3_strip_emails", tx.strip_emails, _re("text", tx.EMAIL, " "))
 _scalar("t4_collapse_stops", tx.collapse_stops, _stops("text"))
 _scalar("t5_collapse_elongation", tx.collapse_elongation, None)
 _scalar("t6_collapse_white", tx.collapse_white, _white("text"))
-_scalar("t7_clean_text", lambda c: tx.clean_text(c, elongation=False), _white(_stops(_re(_re(_HTML, tx.URL, " "), tx.EMAIL, " "))))
+_scalar("t7_clean_text", tx.clean_text, None)
+_scalar("t7_part_clean_unshortened", lambda c: tx.clean_text(c, elongation=False), _white(_stops(_re(_re(_HTML, tx.URL, " "), tx.EMAIL, " "))))
 _scalar("t8_strip_format", tx.strip_format, _re("text", "[" + tx.FORMAT_CONTROLS + "]", ""))
 _scalar("t9_nfc", tx.nfc, "nfc_normalize(text)")
 _scalar("t10_t11_nuktas", tx.normalize_nuktas, None)
