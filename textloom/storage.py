@@ -2,7 +2,7 @@
 
 A cluster names a folder that all executors share in ``spark.checkpoint.dir``; everything written in
 between goes there, so a lost executor costs a re-read and never a result. Only where the setting is
-absent (tests, notebooks) a folder of this process is made and set.
+absent and the session runs on one machine (tests, notebooks) a folder of this process is made and set.
 """
 
 from __future__ import annotations
@@ -11,20 +11,31 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder from ``spark.checkpoint.dir``; a temporary one if the session names none."""
+    """The folder from ``spark.checkpoint.dir``; a temporary one if a local session names none.
+
+    A session on a cluster without the setting is refused: executors do not share a machine's folders.
+    """
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         set_dir = tempfile.mkdtemp(prefix="textloom-")
         atexit.register(shutil.rmtree, set_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", set_dir)
     return set_dir.rstrip("/")
 
 
+#: Folders of the tables written by this process and not discarded yet.
+_LIVE: dict[str, None] = {}
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and read it back (lineage is cut there)."""
     spark = df.sparkSession
@@ -32,20 +43,47 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     writer = df.write.mode("error").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    _LIVE[path] = None
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written = path  # noqa: SLF001 (the folder, for discard and scratch)
+    return back
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)  # noqa: SLF001
+    _LIVE.pop(path, None)
 
 
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table that :func:`materialize` returned and nobody reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for file in df.inputFiles()[:1]:
-        folder = file.rsplit("/", 1)[0]
-        if "=" in folder.rsplit("/", 1)[1]:
-            folder = folder.rsplit("/", 1)[0]
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df._written)  # noqa: SLF001
+
+
+def purge(spark: SparkSession) -> None:
+    """Delete every table this process has written in between, once no result that reads them is needed."""
+    for path in list(_LIVE):
+        _delete(spark, path)
+
+
+class _Kept:
+    def __init__(self) -> None:
+        self.paths: set[str] = set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.paths.add(df._written)  # noqa: SLF001
+        return df
+
+
+@contextmanager
+def scratch() -> Iterator[_Kept]:
+    """Tables written inside are deleted at the end, but for those handed to ``keep``: what the result reads."""
+    before, kept = set(_LIVE), _Kept()
+    yield kept
+    spark = SparkSession.active()
+    for path in [p for p in _LIVE if p not in before and p not in kept.paths]:
+        _delete(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
