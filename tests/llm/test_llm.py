@@ -34,7 +34,8 @@ def test_trie_counts_equal_the_tokenizer(name):
     for text in ("don't  stop\n\n\n  now   ", "पंचायत ने 1234567 पद", "a\n \t b", " x", "", "résumé <|endoftext|>", "aaaaaaaaaaaaaaaaaaaa"):
         cut = tokens.chunks(text)
         assert "".join(cut) == text
-        assert sum(tokens.count_chunks([c for c in cut if c], path)) == len(enc.encode_ordinary(text))
+        counts = tokens.count_chunks([c for c in cut if c], tokens.TriePath(tokens.load_ranks(path)))
+        assert sum(sum(tokens.unpacked(n)) for n in counts) == len(enc.encode_ordinary(text))
 
 
 def test_token_counts_table(spark):
@@ -43,6 +44,24 @@ def test_token_counts_table(spark):
     assert got[2] == got[3] == 0 and got[1] >= 2
 
 
+def test_unusable_counts_are_judged_by_the_trie_counts(spark):
+    rng = random.Random(8)
+    vocab = "the a road market water people school under between village because important government".split()
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(30, 90))) for _ in range(200)] + ["xq zvk wqjx " * 30] * 5 + ["", None]
+    given = [len((t or "").split()) + 3 for t in texts[:200]] + [60] * 5 + [None, None]
+    given[7], given[9], given[11] = given[7] * 5, given[9] // 5, -1
+    df = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(zip(texts, given, strict=True))], "id long, t string, g long")
+    rows = df.join(tokens.token_counts(df, "id", "t"), "id")
+
+    def off(rows):
+        r = {x.id: x.g / x.expected for x in tokens.expected_counts(rows, "g").where("g > 0").collect()}
+        return {i for i, v in r.items() if v >= 3 or v <= 1 / 3}
+
+    assert off(rows) == {7, 9}
+    assert off(rows.withColumn("kinds", F.transform("kinds", lambda k: k * 0))) != {7, 9}  # nothing but the counts decides
+    assert tokens.fit_rates(rows.limit(0), "g") == [1.0] * len(tokens.CLASSES)
+
+
 def test_personal_data():
     names = pii.Names([("Asha", "en", "given"), ("Verma", "en", "family")] * 2)
     texts = ["Mail a.b (at) x (dot) org, call +९१-९८७६५४३२१०.", "Asha Verma lives at 12 Temple Road, Velari 560 001.", "no. 1111 2222 3334", None, "", "icon@2x.png"]

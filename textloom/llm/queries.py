@@ -13,7 +13,7 @@ from textloom.llm.neardup import NearDuplicates
 from textloom.llm.packing import CAPACITY, pack_sequences
 from textloom.llm.pii import find_personal_data, redact_personal_data
 from textloom.llm.quality import NAMES, text_kinds
-from textloom.llm.tokens import expected_counts, language, script_language, token_counts
+from textloom.llm.tokens import expected_counts, language, token_counts
 from textloom.llm.truncation import cut_texts
 from textloom.storage import materialize, table
 
@@ -48,7 +48,7 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     sound = (F.col("post_tokens") > 0) & (ratio < 3) & (ratio > F.lit(1) / 3)
     return _prose_counts(spark, d).select(
         F.col("id").alias("row_id"),
-        F.coalesce(language(F.col("lang"), F.col("lang_code")), script_language(F.col("kinds"))).alias("language"),
+        F.coalesce(language(F.col("lang"), F.col("lang_code")), F.col("script")).alias("language"),
         "tokens",
         F.when(sound, F.col("post_tokens")).otherwise(F.round("expected").cast("long")).alias("sound_post_tokens"),
         F.coalesce(sound, F.lit(False)).alias("post_tokens_usable"),
@@ -61,7 +61,7 @@ def p2_totals(spark: SparkSession, d: str) -> DataFrame:
         _prose_counts(spark, d)
         .groupBy(
             F.coalesce("source_url", F.lit("unknown")).alias("source_url"),
-            F.coalesce(language(F.col("lang"), F.col("lang_code")), script_language(F.col("kinds"))).alias("language"),
+            F.coalesce(language(F.col("lang"), F.col("lang_code")), F.col("script")).alias("language"),
             F.coalesce(F.lower(F.trim("doc_type")), F.lit("unknown")).alias("doc_type"),
         )
         .agg(F.count("*").alias("n_rows"), F.sum("tokens").alias("tokens"), F.sum(F.round("expected").cast("long")).alias("expected_tokens"))

@@ -14,17 +14,18 @@ from __future__ import annotations
 import base64
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.kernels import codes_of, join_texts
-from textloom.storage import materialize
+from textloom.storage import materialize, scratch
 
+#: The vocabulary file if neither the call nor the setting ``textloom.vocabulary`` of the session names one; every
+#: executor gets it through the broadcast of its ranks, only the driver reads the file.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # The published pre-tokenisation pattern of these vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,7 +37,9 @@ _CUT = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 #: HOT_BYTES long: under 10 MB in all); every other chunk goes through a shuffled join.
 HOT_CHUNKS, HOT_BYTES = 60_000, 96
 
-CLASSES = ("latin", "deva", "beng", "taml", "telu", "digit", "other")
+#: Classes of pieces: words by script, figures, everything else; Latin words that the vocabulary does not hold
+#: whole are a class of their own, as it takes many more tokens a character to spell them.
+CLASSES = ("latin", "deva", "beng", "taml", "telu", "digit", "other", "spelled")
 
 
 def chunks(text: str) -> list[str]:
@@ -108,16 +111,31 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-_RANKS: dict[str, dict[bytes, int]] = {}
+#: Counts by class travel as one integer, so many bits a class.
+BITS = 40
 
 
-def count_chunks(found: list[str], path: str) -> list[int]:
-    """Tokens of each chunk, through the trie of their distinct pieces."""
-    if path not in _RANKS:
-        _RANKS[path] = load_ranks(path)
-    pieces = [[p.encode("utf-8", "replace") for p in _PIECES.findall(c)] for c in found]
-    trie = TriePath(_RANKS[path])
-    counted = {p: trie.tokens(p) for p in sorted({p for ps in pieces for p in ps})}
+def packed(counts: Iterable[int]) -> int:
+    return sum(int(n) << BITS * i for i, n in enumerate(counts))
+
+
+def unpacked(word: int) -> list[int]:
+    return [word >> BITS * i & (1 << BITS) - 1 for i in range(len(CLASSES))]
+
+
+def class_of(piece: str, tokens: int) -> int:
+    """Class (in CLASSES) of a piece by its first visible character; pieces of white space are ``other``."""
+    kind = min(6, int(_class_lut()[ord(piece[1] if len(piece) > 1 and piece[0] == " " else piece[0])]))
+    return 7 if kind == 0 and tokens > 1 else kind
+
+
+def count_chunks(found: list[str], trie: TriePath) -> list[int]:
+    """Tokens of each chunk by class (packed), through the trie of their distinct pieces."""
+    pieces = [_PIECES.findall(c) for c in found]
+    counted: dict[str, int] = {}
+    for data, piece in sorted((p.encode("utf-8", "replace"), p) for p in {p for ps in pieces for p in ps}):
+        n = trie.tokens(data)
+        counted[piece] = n << BITS * class_of(piece, n)
     return [sum(counted[p] for p in ps) for ps in pieces]
 
 
@@ -138,24 +156,30 @@ def _vocabulary_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield out()
 
 
-def _count_batches(path: str):
+def _class_lists(words: list[int]) -> pa.ListArray:
+    flat = np.array([unpacked(w) for w in words], np.int64).reshape(-1)
+    return pa.ListArray.from_arrays(np.arange(0, flat.size + 1, len(CLASSES), dtype=np.int32), pa.array(flat))
+
+
+def _count_batches(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = TriePath(ranks.value)  # one for the task: its batches come in sorted order
         for batch in batches:
-            found = batch.column("chunk").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("uses"), pa.array(count_chunks(found, path), pa.int64())], names=["chunk", "uses", "tokens"]
-            )
+            counts = count_chunks(batch.column("chunk").to_pylist(), trie)
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("uses"), _class_lists(counts)], names=["chunk", "uses", "kinds"])
 
     return run
 
 
-def vocabulary(texts: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """(chunk, uses, tokens) of every distinct chunk of column ``txt``; written once."""
+def vocabulary(texts: DataFrame, path: str | None = None) -> DataFrame:
+    """(chunk, uses, kinds) of every distinct chunk of column ``txt``, ``kinds`` its tokens by class; written once."""
+    spark = texts.sparkSession
+    ranks = spark.sparkContext.broadcast(load_ranks(path or spark.conf.get("textloom.vocabulary", VOCABULARY)))
     counted = texts.select("txt").mapInArrow(_vocabulary_batches, "chunk string, uses long")
     distinct = counted.where("chunk <> ''").groupBy("chunk").agg(F.sum("uses").alias("uses"))
     width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = distinct.repartitionByRange(width, "chunk").sortWithinPartitions("chunk")
-    return materialize(ranged.mapInArrow(_count_batches(path), "chunk string, uses long, tokens long"), "vocabulary")
+    return materialize(ranged.mapInArrow(_count_batches(ranks), "chunk string, uses long, kinds array<long>"), "vocabulary")
 
 
 _CLASS_LUT: np.ndarray | None = None
@@ -181,14 +205,6 @@ def _class_lut() -> np.ndarray:
     return _CLASS_LUT
 
 
-def class_counts(texts: list[str | None]) -> np.ndarray:
-    """n x 7 counts of the characters of each class."""
-    codes = codes_of(join_texts(texts))
-    kind = _class_lut()[codes].astype(np.int64)
-    owner = np.cumsum(codes == 0, dtype=np.int64)
-    return np.bincount(owner * 9 + kind, minlength=len(texts) * 9).reshape(-1, 9)[:, :7]
-
-
 def _document_batches(hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[str, int] = hot.value
@@ -196,7 +212,7 @@ def _document_batches(hot):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 ids, texts = part.column("id").to_pylist(), part.column("txt").to_pylist()
-                rows = ([], [], [], [])
+                owners, found, times, sums, at_sum = [], [], [], [], []
                 for i, text in zip(ids, texts, strict=True):
                     total, rare = 0, None
                     for c in chunks(text) if text else ():
@@ -206,39 +222,40 @@ def _document_batches(hot):
                         elif c:
                             rare = rare or []
                             rare.append(c)
-                    rows[0].append(i), rows[1].append(None), rows[2].append(total), rows[3].append(None)
+                    sums.append(total), at_sum.append(len(owners))
+                    owners.append(i), found.append(None), times.append(1)
                     for c, n in Counter(rare).items() if rare else ():
-                        rows[0].append(i), rows[1].append(c), rows[2].append(n), rows[3].append(None)
-                classes = iter(class_counts(texts).tolist())
-                kinds = [next(classes) if c is None else None for c in rows[1]]
+                        owners.append(i), found.append(c), times.append(n)
+                kinds: list = [None] * len(owners)
+                for row, total in zip(at_sum, sums, strict=True):
+                    kinds[row] = unpacked(total)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.int64()), pa.array(kinds, pa.list_(pa.int64()))],
+                    [pa.array(owners, pa.int64()), pa.array(found, pa.string()), pa.array(times, pa.int64()), pa.array(kinds, pa.list_(pa.int64()))],
                     names=["id", "chunk", "n", "kinds"],
                 )
 
     return run
 
 
-def token_counts(df: DataFrame, id_col: str, text_col: str, path: str = VOCABULARY) -> DataFrame:
-    """(id, tokens, kinds): exact token count of every text and its characters by class.
+def token_counts(df: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
+    """(id, tokens, kinds): exact token count of every text, and the same by class of piece.
 
     One row per row of ``df`` when ids are unique; rows of one id add up. A null or empty text has 0
     tokens. Control tokens are never recognised in a text. Other columns are not looked at.
     """
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("txt"))
-    words = vocabulary(src, path)
-    hot_rows = words.where(F.octet_length("chunk") <= HOT_BYTES).orderBy(F.desc("uses"), "chunk").limit(HOT_CHUNKS).select("chunk", "tokens")
-    hot = df.sparkSession.sparkContext.broadcast({r.chunk: r.tokens for r in hot_rows.toLocalIterator()})
-    split = materialize(src.mapInArrow(_document_batches(hot), "id long, chunk string, n long, kinds array<long>"), "chunks")
-    rare = (
-        split.where("chunk is not null")
-        .select("id", "chunk", "n")
-        .join(words.select("chunk", "tokens"), "chunk")
-        .groupBy("id")
-        .agg(F.sum(F.col("n") * F.col("tokens")).alias("n"))
-        .select("id", "n", F.lit(None).cast("array<long>").alias("kinds"))
-    )
-    return split.where("chunk is null").select("id", "n", "kinds").union(rare).groupBy("id").agg(F.sum("n").alias("tokens"), F.max("kinds").alias("kinds"))
+    with scratch() as tables:
+        words = vocabulary(src, path)
+        hot_rows = words.where(F.octet_length("chunk") <= HOT_BYTES).orderBy(F.desc("uses"), "chunk").limit(HOT_CHUNKS).select("chunk", "kinds")
+        hot = df.sparkSession.sparkContext.broadcast({r.chunk: packed(r.kinds) for r in hot_rows.toLocalIterator()})
+        split = materialize(src.mapInArrow(_document_batches(hot), "id long, chunk string, n long, kinds array<long>"), "chunks")
+        k = range(len(CLASSES))
+        rare = split.where("chunk is not null").select("id", "chunk", "n").join(words.select("chunk", F.col("kinds").alias("each")), "chunk")
+        rare = rare.groupBy("id").agg(*[F.sum(F.col("n") * F.col("each")[i]).alias(f"t{i}") for i in k])
+        known = split.where("chunk is null").groupBy("id").agg(*[F.sum(F.col("kinds")[i]).alias(f"t{i}") for i in k])
+        whole = known.union(rare).groupBy("id").agg(*[F.sum(f"t{i}").alias(f"t{i}") for i in k])
+        counts = whole.select("id", sum((F.col(f"t{i}") for i in k), F.lit(0)).alias("tokens"), F.array(*[f"t{i}" for i in k]).alias("kinds"))
+        return tables.keep(materialize(counts, "token-counts"))
 
 
 # Spellings of the corpus languages.
@@ -257,41 +274,53 @@ def language(*cols):
     return F.coalesce(*[F.element_at(spell, F.lower(F.trim(c))) for c in cols])
 
 
-def script_language(kinds):
-    """The language whose letters are the most in ``kinds``; ``und`` without letters."""
-    letters = F.slice(kinds, 1, 5)
-    return F.when(F.array_max(letters) > 0, F.element_at(F.array(*[F.lit(c) for c in ("en", "hi", "bn", "ta", "te")]), F.array_position(letters, F.array_max(letters)).cast("int"))).otherwise("und")
-
-
 #: Rows count as sound in a fitting round if the given count is within this factor of the expected one.
 TRUST, FIT_ROUNDS = 2.2, 6
 
 
-def expected_counts(rows: DataFrame, given: str) -> DataFrame:
-    """``rows`` (tokens, kinds, and a count ``given`` by some other tokenizer) plus ``expected``.
+def fit_rates(rows: DataFrame, given: str) -> list[float]:
+    """Tokens of some other tokenizer, whose counts stand in ``given``, for one token of each class.
 
-    The expectation is a weighted least-squares line in the exact token count and the characters of
-    each class. Its normal equations are summed over all rows; rounds after the first leave out
-    rows whose given count is not within TRUST of the expectation. Null and non-positive counts are
-    never fitted. With no sound row at all the starting rate (one token per 3.5 characters) stays.
+    Rates start from the median ratio over all rows and are refined by weighted least squares over all
+    rows whose given count is within TRUST of the expectation, FIT_ROUNDS times. Null and non-positive
+    counts and texts without tokens are never fitted; with no such row every rate is one.
     """
     k = len(CLASSES)
-    x = [F.col("tokens").cast("double"), *[F.coalesce(F.element_at("kinds", i + 1), F.lit(0)).cast("double") for i in range(k)]]
+    x = [F.col("kinds")[i].cast("double") for i in range(k)]
     y = F.col(given).cast("double")
-    beta = np.array([0.0] + [1 / 3.5] * k)
-
-    def line(b):
-        return F.greatest(F.lit(1.0), sum((F.lit(float(w)) * c for w, c in zip(b, x, strict=True)), F.lit(0.0)))
-
+    usable = rows.where((F.col(given) > 0) & (F.col("tokens") > 0))
+    # a class's start: the median over the texts it makes up most of (at most k rows)
+    most = F.array_position("kinds", F.array_max("kinds"))
+    starts = {r.most: r.m for r in usable.groupBy(most.alias("most")).agg(F.percentile_approx(y / F.col("tokens"), 0.5, 10_000).alias("m")).collect()}
+    if not starts:
+        return [1.0] * k
+    common = float(np.median(list(starts.values())))
+    first = np.array([starts.get(i + 1, common) for i in range(k)], float)
+    rates = first
     for _ in range(FIT_ROUNDS):
-        sound = rows.where((F.col(given) > 0) & (F.abs(F.log(y) - F.log(line(beta))) < float(np.log(TRUST))))
-        pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+        sound = usable.where(F.abs(F.log(y) - F.log(expected(rates))) < float(np.log(TRUST)))
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
         sums = sound.agg(F.count("*"), *[F.sum(x[i] * x[j] / y) for i, j in pairs], *[F.sum(c) for c in x]).first()
         if not sums[0]:
             break
-        gram = np.zeros((k + 1, k + 1))
+        gram = np.zeros((k, k))
         for (i, j), v in zip(pairs, sums[1 : 1 + len(pairs)], strict=True):
             gram[i, j] = gram[j, i] = v
-        gram += np.eye(k + 1) * (1e-6 * np.trace(gram) / (k + 1))
-        beta = np.linalg.solve(gram, np.array(sums[1 + len(pairs) :], float))
-    return rows.withColumn("expected", line(beta))
+        hold = 1e-6 * np.trace(gram) / k  # classes that hardly occur stay where they started
+        rates = np.linalg.solve(gram + hold * np.eye(k), np.array(sums[1 + len(pairs) :], float) + hold * first)
+    return [float(r) for r in rates]
+
+
+def expected(rates) -> Column:
+    """Tokens of the other tokenizer that a text of ``kinds`` should have; one at least."""
+    return F.greatest(F.lit(1.0), sum((F.lit(float(r)) * F.col("kinds")[i] for i, r in enumerate(rates)), F.lit(0.0)))
+
+
+def expected_counts(rows: DataFrame, given: str) -> DataFrame:
+    """``rows`` (tokens, kinds, and a count ``given`` by some other tokenizer) plus ``expected`` and ``script``, the
+    language whose script takes up most of the expected tokens (``und`` without letters)."""
+    rates = fit_rates(rows, given)
+    of = lambda i: F.greatest(F.lit(0.0), F.lit(rates[i]) * F.col("kinds")[i])
+    letters = F.array(of(0) + of(7), *[of(i) for i in range(1, 5)])
+    script = F.when(F.array_max(letters) > 0, F.element_at(F.array(*[F.lit(c) for c in ("en", "hi", "bn", "ta", "te")]), F.array_position(letters, F.array_max(letters)).cast("int"))).otherwise("und")
+    return rows.withColumn("expected", expected(rates)).withColumn("script", script)
