@@ -144,9 +144,29 @@ def test_mixing(spark):
     seen = spark.createDataFrame([("r", "b", 1, "c", 0, "m", "web_lane")], "run_id string, branch_id string, global_step long, checkpoint_id string, worker_rank int, microbatch_id string, mixture_lane string")
     got = {r.lane: r for r in mixing.mixture_report(registry, targets, seen).collect()}
     assert all(abs(r.reached_share - r.target_share) < 0.01 and r.most_uses <= r.max_repeats for r in got.values())
+    assert abs(got["web"].lane_alpha - 1) > 0.01 and got["web"].reached_bits == pytest.approx(got["web"].target_bits, abs=0.01)
+    twice = spark.createDataFrame([(1, "Web", 0.25, 1), (1, "web_lane", 0.25, 2), (1, "code", 0.5, 9)], "plan_id int, lane string, target_share double, max_repeats int")
+    both = {r.lane: (r.target_share, r.max_repeats) for r in mixing.mixture_report(registry, twice, seen).collect()}
+    assert both == {"web": (0.5, 2), "code": (0.5, 9)}
+    flat = mixing.mixture_report(registry, targets, seen, bits=0.9).collect()
+    assert all(r.reached_bits == pytest.approx(0.9, abs=0.01) and r.plan_alpha == r.lane_alpha for r in flat)
+    alike = spark.createDataFrame([(f"e{i}", "Web", 500, 1) for i in range(300)] + [(f"c{i}", "Code", 300, 1) for i in range(300)], registry.schema)
+    mixing.BLOCK_ROWS, kept = 50, mixing.BLOCK_ROWS
+    even = {r.lane: r for r in mixing.mixture_report(alike, targets, seen).collect()}
+    mixing.BLOCK_ROWS = kept
+    assert abs(even["web"].reached_share - 0.6) < 0.01
     assert mixing.mixture_uses(registry.limit(0), targets).agg(F.sum("uses")).first()[0] is None
 
 
+def test_temperature():
+    p, t = [0.7, 0.2, 0.1], [0.5, 0.25, 0.25]
+    plan, own = mixing.lane_exponents(p, t)
+    assert mixing.entropy(mixing.tempered(p, plan)) == pytest.approx(1.5, abs=1e-6)
+    w = [x**a for x, a in zip(p, own, strict=True)]
+    assert [x / sum(w) for x in w] == pytest.approx(t, abs=1e-9)
+    assert mixing.lane_exponents([1.0], [1.0])[1] == [mixing.lane_exponents([1.0], [1.0])[0]]
+
+
 def test_kernels():
     grams, owner = kernels.gram_hashes(kernels.codes_of(kernels.join_texts(["abcdef", None, "abcde"])), 5)
     assert owner.tolist() == [0, 0, 2] and grams[0] == grams[2]

@@ -28,6 +28,11 @@ def p1_uses(spark: SparkSession, d: str) -> DataFrame:
     return mixture_uses(table(spark, d, "registry_manifest"), table(spark, d, "mixture_targets"))
 
 
+def p1_one_temperature(spark: SparkSession, d: str) -> DataFrame:
+    """The same lanes mixed at a single temperature, that of 1.5 bits of entropy, within the repetition limits."""
+    return mixture_report(table(spark, d, "registry_manifest"), table(spark, d, "mixture_targets"), table(spark, d, "checkpoint_manifest"), bits=1.5)
+
+
 def _prose_counts(spark: SparkSession, d: str) -> DataFrame:
     """Every row of prose_cleaned with its exact token count and the count its post_tokens should be near."""
     prose = table(spark, d, "prose_cleaned")
