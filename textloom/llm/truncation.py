@@ -1,11 +1,17 @@
-"""Texts that stop before their end: word trigrams inside texts against trigrams at ends, in SQL.
-
-Words are set apart by white space, a line break is a word of its own, digits become ``#``, and
-omission marks that excerpts carry at the end are taken off. A trigram is counted with one or two words
-replaced by their kind (sentence end S, clause end C, number #, line break, other w), so that names
-and cut words still meet others of their place. The last three words of a text are looked up from
-the most specific form with enough support to the most general; a text is cut if that form is
-frequent inside texts and almost never stands at the end of a text.
+"""Texts that stop before their end: word trigrams inside texts against the same trigrams at ends, in SQL.
+
+Words are set apart by white space, digits become ``#``, and omission marks that excerpts carry at the end are
+taken off. The final trigram x y z of each text is looked up among all trigrams of all texts: it *goes on* where
+its third word is followed by another one in the same line or is the beginning of a longer word (so words that
+were cut are met too), and it *ends* where a line, a cell or a text stops. A text is cut if its final trigram
+goes on often and almost never ends. Where x y z is too rare for a verdict, x, then y, then both give way to
+their kind (sentence end S, clause end C, number #, capital W, other w); the last word always stays, at the
+very last as its kind or, in code, as its shape. Lines of code, items, cells and labelled lines are each counted
+apart from prose. Code whose last line is finished is judged by blocks instead of lines: it goes on where
+another line follows.
+
+"Often" and "almost never" are one test, an interval on the share of ends, so a verdict depends on how sure the
+counts make it and on no count of its own; the more rows, the more specific the trigrams that decide.
 """
 
 from __future__ import annotations
@@ -14,138 +20,166 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textloom.storage import materialize
+from textloom.storage import materialize, scratch
 
-#: Least number of places for a form to be trusted, and the largest share of ends among them.
-SUPPORT, SHARE = 12, 0.04
-#: A form that is rare inside is trusted if more different texts than this end in it, more than there are
-#: places inside that have the form or go on with a longer word where it has its third one (a cut word).
-KNOWN_ENDS = 3
-#: The largest share for texts that stop at a line break, where places are far more than blocks.
-LINE_SHARE = 0.005
-#: Forms of final trigrams are broadcast to the scan up to this number, joined by shuffle beyond it.
-BROADCAST_FORMS = 1_000_000
+#: A form decides "cut" if the share of ends is surely under SHARE, "complete" if it is surely above it; otherwise the
+#: next form is asked. Sure are Z_CUT and Z_WHOLE standard deviations. Undecided texts count as complete.
+SHARE, Z_CUT, Z_WHOLE = 0.04, 0.7, 1.65
+#: Keys of final trigrams are broadcast to the scan up to this number (8 bytes each), joined by shuffle beyond it.
+BROADCAST_KEYS = 1_000_000
 
 # The marks that excerpts end with, as one pattern.
-OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?))+\s*$"
-# A tag that the end of a text cuts open; what stands before it is judged.
-OPEN_TAG = r"\s*<[a-zA-Z/][^<>]*$"
-# Stops that end a sentence; a finished one has three letters, a word and a
-# number, a bracket or a quote before a full stop.
-SENTENCE = r"(\p{L}[\p{L}\p{M}]{2}|\p{L}\p{M}* \p{Nd}+|[\])\x22”%ऀ-෿])[.।॥?!…][\x22”\x27)]*(\s|$|<)"
-
-# Running prose: seven words of two letters or more, single letters and numbers between them aside, without
-# a line break or a sign that sets items or cells apart.
-_WORD = r"\p{L}[\p{L}\p{M}\x{200c}\x{200d}\x27’-]+"
-PROSE = rf"({_WORD}[ \xa0]+((\p{{Nd}}+|\p{{L}}\p{{M}}*)[ \xa0]+)?){{{{6}}}}\p{{L}}[\p{{L}}\p{{M}}]".replace("{{", "{").replace("}}", "}")
-
+OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?|\x{fffd}))+\s*$"
+# A character reference that the end of a text cuts open.
+REFERENCE = r"&#?[a-zA-Z0-9]*$"
 # Runs of ASCII digits and of the Indic scripts' digits.
 DIGITS = "[0-9०-९০-৯੦-੯૦-૯୦-୯௦-௯౦-౯೦-೯൦-൯]+"
 # Signs that may follow a stop, and signs that numbers are written with.
 CLOSERS, FIGURES = "\")”'", "#.,%()-:/+"
-
-
-def _ends(w: str, signs: str) -> str:
-    return "(" + " OR ".join(f"endswith({w}, '{c}')" for c in signs) + ")"
-
-
-def _sql(text: str) -> str:
-    return "'" + text.replace("'", "\\'") + "'"
+# Words that part the items or cells of a line.
+PARTERS = "'/', '|', ';', '•', '$'"
+# Lines of other kinds than prose: an item's mark, cells or items set apart by signs, a label within the first words.
+ITEM = r"^\s*([-*•▪–·>]|[(]?(#|[a-zA-Z]{1,4})[.)])\s"
+CELLS = r"((\s[/|•:]\s|;|\||\S=\S|,\S).*){2}"
+LABEL = r"^(\S+\s+){0,4}\S*:(\s|$)"
 
 
 def _kind(w: str) -> str:
-    bare = f"rtrim({_sql(CLOSERS)}, {w})"
-    closed = " OR ".join(f"endswith({w}, {_sql(c)})" for c in CLOSERS)
+    bare = f"right(rtrim('{CLOSERS.replace(chr(39), chr(92) + chr(39))}', {w}), 1)"
     return (
-        f"CASE WHEN {w} IN ('⏎', '⏎⏎', '^') THEN {w} WHEN {_ends(w, '.।॥?!…')} THEN 'S' WHEN {_ends(w, ',;:')} THEN 'C' "
-        f"WHEN ({closed}) AND {_ends(bare, '.।॥?!…')} THEN 'S' WHEN contains({w}, '#') AND rtrim('{FIGURES}', {w}) = '' THEN '#' ELSE 'w' END"
+        f"CASE WHEN {w} IN ('⏎', '^') THEN {w} WHEN right({w}, 1) IN ('.', '।', '॥', '?', '!', '…') THEN 'S' WHEN right({w}, 1) IN (',', ';', ':') THEN 'C' "
+        f"WHEN right({w}, 1) IN ('\"', ')', '”', '\\'') AND {bare} IN ('.', '।', '॥', '?', '!', '…') THEN 'S' WHEN contains({w}, '#') AND rtrim('{FIGURES}', {w}) = '' THEN '#' "
+        f"WHEN {w} >= 'A' AND {w} < '[' THEN 'W' ELSE 'w' END"
     )
 
 
-#: Forms of a trigram x y z in the order they are tried (k: the kind instead of the word; the third word
-#: counts only where it is named). A text that ends with a word of kind S is complete.
-FORMS = ("xxhash64(0, kx, y, z)", "xxhash64(1, x, y)", "xxhash64(2, kx, y)", "xxhash64(3, x, ky)", "xxhash64(4, kx, ky, code)")
-#: A line break at the end of a text stands for the end of a block: it is looked up among block ends by the
-#: last character before it, then among all line breaks.
-_LAST = "xxhash64({n}, regexp_replace(regexp_replace(right(y, 1), r'\\p{{L}}|\\p{{M}}', 'a'), r'\\p{{Nd}}', '#'), code)"
-BLOCK, LINE = _LAST.format(n=6), _LAST.format(n=7)
+#: The shape of a word: letters as one ``a``.
+_SHAPE = r"regexp_replace({w}, r'[\p{{L}}\p{{M}}_]+', 'a')"
 
 
-def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None) -> DataFrame:
-    """(id, content, sentences, forms): of every text, its final trigram's forms, in order,
-    each with ``inside`` (places inside texts, all rows), ``ends`` (distinct texts that end so) and, for first
-    forms that more than KNOWN_ENDS texts end in, ``longer`` (places inside with a longer third word).
+def _structs(keys: list[tuple[str, str]]) -> str:
+    return "array(" + ", ".join(f"named_struct('p', {p}, 'w', {w})" for p, w in keys) + ")"
 
-    Ends are counted over distinct texts, so copies of one cut text do not vouch for each other. Null
-    texts have no row; texts under three words are padded.
-    """
-    spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    df.selectExpr(f"cast({id_col} AS bigint) AS id", f"{text_col} AS txt", (f"coalesce({lane_col} = 'code', false)" if lane_col else "false") + " AS code").createOrReplaceTempView(f"src_{tag}")
-    spark.sql(
-        rf"""
-        SELECT id, xxhash64(txt) AS content, code, concat(array('^', '^', '^'), w) AS w, code OR txt RLIKE r'{SENTENCE}' OR txt RLIKE r'{PROSE}' AS sentences
-        FROM (SELECT id, txt, code, array_remove(split(replace(replace(replace(replace(replace(replace(regexp_replace(whole, '{DIGITS}', '#'), '\r\n', '\n'), '\n\n', ' ⏎⏎ '), '\n', ' ⏎ '), '\t', ' '), '\r', ' '), chr(160), ' '), ' '), '') AS w
-              FROM (SELECT *, CASE WHEN right(shut, 1) = chr(10) THEN concat(shut, chr(10))
-                                   WHEN right(shut, 60) RLIKE r'{OMISSION}' THEN regexp_replace(shut, r'{OMISSION}', '') ELSE shut END AS whole
-                    FROM (SELECT *, CASE WHEN NOT code AND right(txt, 300) RLIKE r'{OPEN_TAG}' THEN regexp_replace(txt, r'{OPEN_TAG}', '') ELSE txt END AS shut
-                          FROM src_{tag} WHERE txt IS NOT NULL)))"""
-    ).createOrReplaceTempView(f"words_{tag}")
-    last = spark.sql(
-        f"""
-        SELECT id, content, sentences, CASE WHEN kz = 'S' THEN cast(array() AS array<bigint>) WHEN z = '⏎⏎' THEN array({BLOCK}, {LINE}) ELSE array({', '.join(FORMS)}) END AS forms, xxhash64(2, kx, y) AS place, z
-        FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky, {_kind('z')} AS kz
-              FROM (SELECT id, content, code, sentences, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z FROM words_{tag}))"""
-    )
-    last = materialize(last, "p8-last")
-    last.createOrReplaceTempView(f"last_{tag}")
-    ends = materialize(spark.sql(f"SELECT f, count(DISTINCT content) AS ends FROM (SELECT explode(forms) AS f, content FROM last_{tag}) GROUP BY f"), "p8-ends")
-    ends.createOrReplaceTempView(f"ends_{tag}")
-    stems = spark.sql(
-        f"""
-        SELECT place, collect_set(struct(z, xxhash64(5, f) AS f)) AS stems
-        FROM (SELECT l.place, l.z, get(l.forms, 0) AS f FROM last_{tag} l JOIN ends_{tag} e ON get(l.forms, 0) = e.f WHERE e.ends > {KNOWN_ENDS} AND l.z NOT IN ('⏎', '⏎⏎', '^')) GROUP BY place"""
-    )
-    stems = materialize(stems, "p8-stems")
-    stems.createOrReplaceTempView(f"stems_{tag}")
-    hint = "/*+ BROADCAST(e) */" if ends.count() <= BROADCAST_FORMS else ""
-    near = "/*+ BROADCAST(s) */" if stems.count() <= BROADCAST_FORMS else ""
-    counted = spark.sql(
-        f"""
-        WITH grams AS (
-            SELECT {near} explode(CASE WHEN z IN ('⏎', '⏎⏎') THEN array({', '.join(FORMS)}, {LINE}, if(z = '⏎⏎', {BLOCK}, 0))
-                WHEN s.stems IS NOT NULL THEN concat(array({', '.join(FORMS)}), transform(filter(s.stems, t -> startswith(z, t.z) AND z <> t.z), t -> t.f)) ELSE array({', '.join(FORMS)}) END) AS f
-            FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky
-                  FROM (SELECT code, t.x, t.y, t.z FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 3), slice(w, 2, size(w) - 3), slice(w, 3, size(w) - 3))) t AS x, y, z)) g LEFT JOIN stems_{tag} s ON xxhash64(2, g.kx, g.y) = s.place),
-        wanted AS (SELECT f, f AS form, ends FROM ends_{tag} UNION ALL SELECT xxhash64(5, f), f, NULL FROM ends_{tag} WHERE ends > {KNOWN_ENDS}),
-        inner_grams AS (SELECT {hint} g.f, count(*) AS inside FROM grams g LEFT SEMI JOIN wanted e ON g.f = e.f GROUP BY g.f)
-        SELECT e.form AS f, max(e.ends) AS ends, coalesce(sum(i.inside) FILTER (WHERE e.ends IS NOT NULL), 0) AS inside, coalesce(sum(i.inside) FILTER (WHERE e.ends IS NULL), 0) AS longer
-        FROM wanted e LEFT JOIN inner_grams i ON e.f = i.f GROUP BY e.form"""
-    )
-    materialize(counted, "p8-counts").createOrReplaceTempView(f"counts_{tag}")
-    return spark.sql(
-        f"""
-        SELECT l.id, l.content, l.sentences, array_sort(filter(collect_list(struct(l.form, c.inside, c.ends, c.longer)), f -> f.form IS NOT NULL)) AS forms
-        FROM (SELECT id, content, sentences, posexplode_outer(forms) AS (form, f) FROM last_{tag}) l
-        LEFT JOIN counts_{tag} c ON l.f = c.f GROUP BY l.id, l.content, l.sentences"""
+
+def _keys(w: str) -> str:
+    """Keys of a trigram x y w in the order they are asked: where its third word is looked up among words that
+    begin alike (1, 2: under the first word and under its kind; 4: under kinds only), and as a kind or shape (3, 5)."""
+    shape = _SHAPE.format(w=w)
+    return _structs(
+        [
+            (f"xxhash64(1, x, y, reg, left({w}, 1))", w),
+            (f"xxhash64(2, kx, y, reg, left({w}, 1))", w),
+            (f"xxhash64(3, kx, y, reg, if(reg = 'k', left({shape}, 1), {_kind(w)}))", f"if(reg = 'k', {shape}, '')"),
+            (f"xxhash64(4, kx, ky, reg, left({w}, 1))", w),
+            (f"if(reg = 'k', xxhash64(5, kx, ky, left({shape}, 1)), 0)", f"if(reg = 'k', {shape}, '')"),
+        ]
     )
 
 
-def cut_texts(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
-    """(id, cut): whether each text that is not null stops before its end.
+def _line_keys(w: str) -> str:
+    """Keys of the end of a finished line of code, asked in this order."""
+    shape = _SHAPE.format(w=w)
+    return _structs([(f"xxhash64(6, x, y, {w})", "''"), (f"xxhash64(7, kx, y, {w})", "''"), (f"xxhash64(8, kx, ky, {w})", "''"), (f"xxhash64(9, right({shape}, 1))", "''")])
+
+
+def _bound(side: str, z: float) -> str:
+    """Wilson's bound on the share of ends of a form f: the lower one (``-``) or the upper one (``+``)."""
+    n, p = "(f.goes + f.ends)", "(f.ends / (f.goes + f.ends))"
+    return f"(({p} + {z * z / 2} / {n} {side} {z} * sqrt({p} * (1 - {p}) / {n} + {z * z / 4} / ({n} * {n}))) / (1 + {z * z} / {n}))"
 
-    The first form with ``support`` places inside texts, or with more texts that end so than KNOWN_ENDS and than
-    places inside where the text goes on (sign-offs, not cut words), decides:
-    the text is cut if other texts end so in at most ``share`` of its places. A text without any finished sentence and without
-    running prose (headings, lists, tables: no seven words in a row) counts as complete; for rows whose lane is
-    ``code`` that guard does not apply. Ids of repeated rows with
-    equal texts give one row.
+
+def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None) -> DataFrame:
+    """(id, content, stopped, forms): of every text, whether it ends with a sentence end, and for each form of its
+    final trigram, in order, ``goes`` (places where it goes on, all rows) and ``ends`` (lines, cells and other
+    texts that end so).
+
+    Ends of texts are counted over distinct contents, so copies of one cut text do not vouch for each other. Null and
+    blank texts have no row; texts under three words are padded.
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex[:12]
-    last_trigrams(df, id_col, text_col, lane_col).createOrReplaceTempView(f"looked_{tag}")
-    return spark.sql(
-        f"""
-        SELECT id, sentences AND coalesce(form.ends - 1 <= CASE size(forms) WHEN 2 THEN {LINE_SHARE} ELSE {share} END * form.inside, false) AS cut, forms
-        FROM (SELECT *, get(filter(forms, f -> f.inside >= {support} OR f.ends > {KNOWN_ENDS} AND f.ends > f.inside + f.longer), 0) AS form FROM looked_{tag})"""
-    )
+    views: list[str] = []
+
+    def view(name: str, rows: DataFrame) -> None:
+        rows.createOrReplaceTempView(f"{name}_{tag}")
+        views.append(f"{name}_{tag}")
+
+    try:
+        view("src", df.selectExpr(f"cast({id_col} AS bigint) AS id", f"{text_col} AS txt", (f"coalesce({lane_col} = 'code', false)" if lane_col else "false") + " AS code"))
+        # a tag or reference left open at the end is taken off: what stands before it is judged
+        lines = spark.sql(
+            rf"""
+            WITH shut AS (
+                SELECT id, code, code AND endswith(rtrim(' \r\t', txt), '\n') AS lined, rtrim(' \n\r\t', CASE WHEN code THEN txt WHEN txt RLIKE r'{OMISSION}' THEN regexp_replace(txt, r'{OMISSION}', '') ELSE txt END) AS txt
+                FROM (SELECT id, code, CASE WHEN code THEN txt WHEN instr(open, '>') = 0 AND open RLIKE '^[a-zA-Z/]' AND contains(txt, '<') THEN left(txt, length(txt) - length(open) - 1)
+                                            WHEN right(txt, 1) RLIKE '[&#a-zA-Z0-9]' AND contains(txt, '&') THEN regexp_replace(txt, r'{REFERENCE}', '') ELSE txt END AS txt
+                      FROM (SELECT *, substring_index(txt, '<', -1) AS open FROM src_{tag} WHERE txt IS NOT NULL))),
+            parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(regexp_replace(replace(txt, '\r', ''), '{DIGITS}', '#'), '\n') AS ls FROM shut WHERE txt <> ''),
+            lines AS (SELECT id, code, lined, content, t.l, t.before, trim(' \t\xa0', t.after) = '' AS block, t.after IS NULL AS last
+                      FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after)
+            SELECT id, content, lined, last, coalesce(block, true) AS block,
+                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN l RLIKE r'{CELLS}' THEN 'c' WHEN l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg,
+                   concat(if(code, array(coalesce(element_at(split(trim(before), ' '), -1), '^'), '⏎'), array('^', '^')), w) AS w
+            FROM (SELECT *, array_remove(split(replace(replace(l, '\t', ' | '), chr(160), ' '), ' '), '') AS w FROM lines) WHERE size(w) > 0"""
+        )
+        view("lines", materialize(lines, "p8-lines"))
+        last = spark.sql(
+            f"""
+            SELECT id, content, stopped, lined, if(lined, {_line_keys('z')}, {_keys('z')}) AS forms
+            FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky, {_kind('z')} = 'S' AND reg <> 'k' AS stopped
+                  FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z FROM lines_{tag} WHERE last))"""
+        )
+        view("last", materialize(last, "p8-last"))
+        # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
+        wanted = spark.sql(
+            f"SELECT f.p, f.w AS z, count(DISTINCT content) AS texts, max(lined) AS lined FROM (SELECT content, lined, explode(forms) AS f FROM last_{tag} WHERE NOT stopped) WHERE f.p <> 0 GROUP BY f.p, f.w"
+        )
+        view("wanted", materialize(wanted, "p8-wanted"))
+        keys = materialize(spark.sql(f"SELECT DISTINCT p FROM wanted_{tag}"), "p8-keys")
+        view("keys", keys)
+        hint = "/*+ BROADCAST(k) */" if keys.count() <= BROADCAST_KEYS else ""
+        counted = spark.sql(
+            f"""
+            WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n FROM lines_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3))) t AS x, y, z, n),
+            grams AS (SELECT explode(if(n = '$' AND reg = 'k', concat({_keys('z')}, {_line_keys('z')}), {_keys('z')})) AS f, n, block, reg = 'k' AS code
+                      FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')))
+            SELECT {hint} f.p, f.w, code, sum(if(n IN ({PARTERS}), 0, 1)) AS on, sum(if(n = '$' AND NOT block, 1, 0)) AS line, sum(if(n IN ({PARTERS}) AND (block OR n <> '$'), 1, 0)) AS block
+            FROM grams LEFT SEMI JOIN keys_{tag} k ON f.p = k.p GROUP BY f.p, f.w, code"""
+        )
+        view("counts", materialize(counted, "p8-counts"))
+        # of a finished line, a further line goes on and a block ends. Otherwise a longer word goes on wherever it stands, the same word where another one follows
+        longer = "if(c.code, c.w, rtrim(',;:.।॥?!…)”\"\\'', c.w)) <> k.z"
+        found = spark.sql(
+            f"""
+            SELECT k.p, k.z, max(k.texts) AS texts,
+                   coalesce(sum(CASE WHEN k.lined THEN c.line WHEN c.w = k.z THEN c.on WHEN {longer} THEN c.on + c.line + c.block ELSE 0 END), 0) AS goes,
+                   coalesce(sum(CASE WHEN k.lined THEN c.block WHEN c.w = k.z THEN c.line + c.block ELSE 0 END), 0) AS ends
+            FROM wanted_{tag} k LEFT JOIN counts_{tag} c ON k.p = c.p AND startswith(c.w, k.z) GROUP BY k.p, k.z"""
+        )
+        view("found", materialize(found, "p8-found"))
+        return materialize(
+            spark.sql(
+                f"""
+                SELECT l.id, l.content, l.stopped, array_sort(filter(collect_list(struct(l.form, c.goes, c.ends + c.texts - 1 AS ends)), f -> f.goes IS NOT NULL)) AS forms
+                FROM (SELECT id, content, stopped, posexplode_outer(if(stopped, null, forms)) AS (form, f) FROM last_{tag}) l
+                LEFT JOIN found_{tag} c ON l.f.p = c.p AND l.f.w = c.z GROUP BY l.id, l.content, l.stopped"""
+            ),
+            "p8-forms",
+        )
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+
+
+def cut_texts(df: DataFrame, id_col: str, text_col: str, lane_col: str | None = None) -> DataFrame:
+    """(id, cut, forms): whether each text that is not null or blank stops before its end.
+
+    A text that ends with a sentence end is complete. Otherwise the first form decides whose share of ends is surely
+    under or surely above SHARE; a text no form decides on is complete. Ids of repeated rows with equal texts give
+    one row.
+    """
+    with scratch() as tables:
+        looked = tables.keep(last_trigrams(df, id_col, text_col, lane_col))
+    judged = f"CASE WHEN {_bound('+', Z_CUT)} < {SHARE} THEN true WHEN {_bound('-', Z_WHOLE)} > {SHARE} THEN false END"
+    sure = f"filter(transform(filter(forms, f -> f.goes + f.ends > 0), f -> {judged}), c -> c IS NOT NULL)"
+    return looked.selectExpr("id", f"NOT stopped AND coalesce(get({sure}, 0), false) AS cut", "forms")
