@@ -53,33 +53,33 @@ def _kind(w: str) -> str:
     )
 
 
-#: The shape of a word: letters as one ``a``.
-_SHAPE = r"regexp_replace({w}, r'[\p{{L}}\p{{M}}_]+', 'a')"
+# Letters, which are one ``a`` in the shape of a line of code.
+LETTERS = r"[\p{L}\p{M}_]+"
+# Signs of which a line of cells has two, and an excerpt one at its end: looked for before the patterns.
+CELL_SIGNS = "/|•:;=,"
 
 
 def _structs(keys: list[tuple[str, str]]) -> str:
     return "array(" + ", ".join(f"named_struct('p', {p}, 'w', {w})" for p, w in keys) + ")"
 
 
-def _keys(w: str) -> str:
-    """Keys of a trigram x y w in the order they are asked: where its third word is looked up among words that
-    begin alike (1, 2: under the first word and under its kind; 4: under kinds only), and as a kind or shape (3, 5)."""
-    shape = _SHAPE.format(w=w)
+def _keys(z: str) -> str:
+    """Keys of a trigram x y z (kinds kx, ky; s: the shape of z in code, else its kind) in the order they are asked: where z
+    is looked up among words that begin alike (1, 2: under the first word and under its kind; 4: under kinds
+    only), and by its shape or kind (3, 5)."""
     return _structs(
         [
-            (f"xxhash64(1, x, y, reg, left({w}, 1))", w),
-            (f"xxhash64(2, kx, y, reg, left({w}, 1))", w),
-            (f"xxhash64(3, kx, y, reg, if(reg = 'k', left({shape}, 1), {_kind(w)}))", f"if(reg = 'k', {shape}, '')"),
-            (f"xxhash64(4, kx, ky, reg, left({w}, 1))", w),
-            (f"if(reg = 'k', xxhash64(5, kx, ky, left({shape}, 1)), 0)", f"if(reg = 'k', {shape}, '')"),
+            (f"xxhash64(1, x, y, reg, left({z}, 1))", z),
+            (f"xxhash64(2, kx, y, reg, left({z}, 1))", z),
+            ("xxhash64(3, kx, y, reg, if(reg = 'k', left(s, 1), s))", "if(reg = 'k', s, '')"),
+            (f"xxhash64(4, kx, ky, reg, left({z}, 1))", z),
+            ("if(reg = 'k', xxhash64(5, kx, ky, left(s, 1)), 0)", "if(reg = 'k', s, '')"),
         ]
     )
 
 
-def _line_keys(w: str) -> str:
-    """Keys of the end of a finished line of code, asked in this order."""
-    shape = _SHAPE.format(w=w)
-    return _structs([(f"xxhash64(6, x, y, {w})", "''"), (f"xxhash64(7, kx, y, {w})", "''"), (f"xxhash64(8, kx, ky, {w})", "''"), (f"xxhash64(9, right({shape}, 1))", "''")])
+#: Keys of the end of a finished line of code, asked in this order.
+_LINE_KEYS = _structs([("xxhash64(6, x, y, z)", "''"), ("xxhash64(7, kx, y, z)", "''"), ("xxhash64(8, kx, ky, z)", "''"), ("xxhash64(9, right(s, 1))", "''")])
 
 
 def _bound(side: str, z: float) -> str:
@@ -109,25 +109,28 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         # a tag or reference left open at the end is taken off: what stands before it is judged
         lines = spark.sql(
             rf"""
-            WITH shut AS (
-                SELECT id, code, code AND endswith(rtrim(' \r\t', txt), '\n') AS lined, rtrim(' \n\r\t', CASE WHEN code THEN txt WHEN txt RLIKE r'{OMISSION}' THEN regexp_replace(txt, r'{OMISSION}', '') ELSE txt END) AS txt
-                FROM (SELECT id, code, CASE WHEN code THEN txt WHEN instr(open, '>') = 0 AND open RLIKE '^[a-zA-Z/]' AND contains(txt, '<') THEN left(txt, length(txt) - length(open) - 1)
-                                            WHEN right(txt, 1) RLIKE '[&#a-zA-Z0-9]' AND contains(txt, '&') THEN regexp_replace(txt, r'{REFERENCE}', '') ELSE txt END AS txt
-                      FROM (SELECT *, substring_index(txt, '<', -1) AS open FROM src_{tag} WHERE txt IS NOT NULL))),
-            parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(regexp_replace(replace(txt, '\r', ''), '{DIGITS}', '#'), '\n') AS ls FROM shut WHERE txt <> ''),
-            lines AS (SELECT id, code, lined, content, t.l, t.before, trim(' \t\xa0', t.after) = '' AS block, t.after IS NULL AS last
-                      FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after)
+            WITH open AS (SELECT id, code, code AND endswith(rtrim(' \r\t', txt), '\n') AS lined, txt, rtrim(' \n\r\t', txt) AS trimmed, substring_index(txt, '<', -1) AS tag, substring_index(txt, '&', -1) AS reference FROM src_{tag} WHERE txt IS NOT NULL),
+            shut AS (SELECT id, code, lined, CASE WHEN code THEN trimmed
+                         WHEN instr(tag, '>') = 0 AND tag RLIKE '^[a-zA-Z/]' AND contains(txt, '<') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(tag) - 1))
+                         WHEN reference RLIKE '^#?[a-zA-Z0-9]*$' AND contains(txt, '&') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(reference) - 1))
+                         WHEN right(trimmed, 1) IN (']', '…', ')', '\uFFFD', '.', 'e', 'd') THEN rtrim(' \n\r\t', regexp_replace(trimmed, r'{OMISSION}', '')) ELSE trimmed END AS txt FROM open),
+            parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(replace(regexp_replace(translate(txt, '\r\xa0', ' '), '{DIGITS}', '#'), '\t', ' | '), '\n') AS ls FROM shut WHERE txt <> ''),
+            lines AS (SELECT id, code, lined, content, t.l, t.before, trim(t.after) = '' AS block, t.after IS NULL AS last
+                      FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after),
+            words AS (SELECT *, array_remove(split(l, ' '), '') AS ws FROM lines)
             SELECT id, content, lined, last, coalesce(block, true) AS block,
-                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN l RLIKE r'{CELLS}' THEN 'c' WHEN l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg,
-                   concat(if(code, array(coalesce(element_at(split(trim(before), ' '), -1), '^'), '⏎'), array('^', '^')), w) AS w
-            FROM (SELECT *, array_remove(split(replace(replace(l, '\t', ' | '), chr(160), ' '), ' '), '') AS w FROM lines) WHERE size(w) > 0"""
+                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN length(l) - length(translate(l, '{CELL_SIGNS}', '')) < 1 THEN 'p' WHEN l RLIKE r'{CELLS}' THEN 'c' WHEN l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg,
+                   concat(if(code, array(coalesce(element_at(split(trim(before), ' '), -1), '^'), '⏎'), array('^', '^')), ws) AS w,
+                   concat(array('', ''), if(code, array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), ''), array())) AS s
+            FROM words WHERE size(ws) > 0"""
         )
+        # the kinds of a line's words, and in code their shapes
+        lines = lines.selectExpr("*", f"transform(w, z -> {_kind('z')}) AS k").selectExpr("id", "content", "lined", "last", "block", "reg", "w", "k", "if(reg = 'k', s, k) AS s")
         view("lines", materialize(lines, "p8-lines"))
         last = spark.sql(
             f"""
-            SELECT id, content, stopped, lined, if(lined, {_line_keys('z')}, {_keys('z')}) AS forms
-            FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky, {_kind('z')} = 'S' AND reg <> 'k' AS stopped
-                  FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z FROM lines_{tag} WHERE last))"""
+            SELECT id, content, kz = 'S' AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_keys('z')}) AS forms
+            FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(k, -1) AS kz, element_at(s, -1) AS s FROM lines_{tag} WHERE last)"""
         )
         view("last", materialize(last, "p8-last"))
         # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
@@ -140,11 +143,12 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         hint = "/*+ BROADCAST(k) */" if keys.count() <= BROADCAST_KEYS else ""
         counted = spark.sql(
             f"""
-            WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n FROM lines_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3))) t AS x, y, z, n),
-            grams AS (SELECT explode(if(n = '$' AND reg = 'k', concat({_keys('z')}, {_line_keys('z')}), {_keys('z')})) AS f, n, block, reg = 'k' AS code
-                      FROM (SELECT *, {_kind('x')} AS kx, {_kind('y')} AS ky FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')))
-            SELECT {hint} f.p, f.w, code, sum(if(n IN ({PARTERS}), 0, 1)) AS on, sum(if(n = '$' AND NOT block, 1, 0)) AS line, sum(if(n IN ({PARTERS}) AND (block OR n <> '$'), 1, 0)) AS block
-            FROM grams LEFT SEMI JOIN keys_{tag} k ON f.p = k.p GROUP BY f.p, f.w, code"""
+            WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n, t.kx, t.ky, t.s
+                              FROM lines_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3), slice(k, 1, size(w) - 2), slice(k, 2, size(w) - 2), slice(s, 3, size(w) - 2))) t AS x, y, z, n, kx, ky, s),
+            inner_trigrams AS (SELECT *, n IN ({PARTERS}) AS stop, n = '$' AS over FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
+            grams AS (SELECT explode({_keys('z')}) AS f, over, stop, block, reg FROM inner_trigrams UNION ALL SELECT explode({_LINE_KEYS}), over, stop, block, reg FROM inner_trigrams WHERE over AND reg = 'k')
+            SELECT {hint} f.p, f.w, reg = 'k' AS code, sum(if(stop, 0, 1)) AS on, sum(if(over AND NOT block, 1, 0)) AS line, sum(if(stop AND (block OR NOT over), 1, 0)) AS block
+            FROM grams LEFT SEMI JOIN keys_{tag} k ON f.p = k.p GROUP BY f.p, f.w, reg = 'k'"""
         )
         view("counts", materialize(counted, "p8-counts"))
         # of a finished line, a further line goes on and a block ends. Otherwise a longer word goes on wherever it stands, the same word where another one follows
