@@ -30,8 +30,6 @@ BROADCAST_KEYS = 1_000_000
 
 # The marks that excerpts end with, as one pattern.
 OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?|\x{fffd}))+\s*$"
-# A character reference that the end of a text cuts open.
-REFERENCE = r"&#?[a-zA-Z0-9]*$"
 # Runs of ASCII digits and of the Indic scripts' digits.
 DIGITS = "[0-9०-९০-৯੦-੯૦-૯୦-୯௦-௯౦-౯೦-೯൦-൯]+"
 # Signs that may follow a stop, and signs that numbers are written with.
@@ -40,23 +38,27 @@ CLOSERS, FIGURES = "\")”'", "#.,%()-:/+"
 PARTERS = "'/', '|', ';', '•', '$'"
 # Lines of other kinds than prose: an item's mark, cells or items set apart by signs, a label within the first words.
 ITEM = r"^\s*([-*•▪–·>]|[(]?(#|[a-zA-Z]{1,4})[.)])\s"
-CELLS = r"((\s[/|•:]\s|;|\||\S=\S|,\S).*){2}"
+CELLS, COMMAS = r"((\s[/|•:]\s|;|\||\S=\S).*){2}", r",\S.*,\S"
+CELL_SIGNS = (";", "|", " / ", "=", " : ", "•")
 LABEL = r"^(\S+\s+){0,4}\S*:(\s|$)"
 
 
-def _kind(w: str) -> str:
-    bare = f"right(rtrim('{CLOSERS.replace(chr(39), chr(92) + chr(39))}', {w}), 1)"
-    return (
-        f"CASE WHEN {w} IN ('⏎', '^') THEN {w} WHEN right({w}, 1) IN ('.', '।', '॥', '?', '!', '…') THEN 'S' WHEN right({w}, 1) IN (',', ';', ':') THEN 'C' "
-        f"WHEN right({w}, 1) IN ('\"', ')', '”', '\\'') AND {bare} IN ('.', '।', '॥', '?', '!', '…') THEN 'S' WHEN contains({w}, '#') AND rtrim('{FIGURES}', {w}) = '' THEN '#' "
-        f"WHEN {w} >= 'A' AND {w} < '[' THEN 'W' ELSE 'w' END"
-    )
+# The kind of a word by its last sign; a capital at the beginning (W) or nothing of note (w) otherwise.
+LAST_SIGNS = {**dict.fromkeys(".।॥?!…", "S"), **dict.fromkeys(",;:", "C"), **dict.fromkeys("#%", "#"), **dict.fromkeys("\")”'", "Q"), "^": "^", "⏎": "^"}
+
+
+def _quoted(sign: str) -> str:
+    return "'" + sign.replace("'", "\\'") + "'"
+
+
+_KIND = "coalesce(element_at(map(" + ", ".join(f"{_quoted(c)}, '{k}'" for c, k in LAST_SIGNS.items()) + "), right(z, 1)), if(z >= 'A' AND z < '[', 'W', 'w'))"
+_STOPPED = f"right(rtrim({_quoted(CLOSERS)}, z), 1) IN ('.', '।', '॥', '?', '!', '…')"
 
 
 # Letters, which are one ``a`` in the shape of a line of code.
 LETTERS = r"[\p{L}\p{M}_]+"
-# Signs of which a line of cells has two, and an excerpt one at its end: looked for before the patterns.
-CELL_SIGNS = "/|•:;=,"
+# What the last word of an excerpt with omission marks ends in, looked for before the whole pattern is.
+MARKED = r"(\]|…|\.\.\.|more\)?|contd\.?\)?|\x{fffd})$"
 
 
 def _structs(keys: list[tuple[str, str]]) -> str:
@@ -106,6 +108,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
 
     try:
         view("src", df.selectExpr(f"cast({id_col} AS bigint) AS id", f"{text_col} AS txt", (f"coalesce({lane_col} = 'code', false)" if lane_col else "false") + " AS code"))
+        signs = " OR ".join(f"contains(l, '{c}')" for c in CELL_SIGNS)
         # a tag or reference left open at the end is taken off: what stands before it is judged
         lines = spark.sql(
             rf"""
@@ -114,23 +117,23 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
                          WHEN instr(tag, '>') = 0 AND tag RLIKE '^[a-zA-Z/]' AND contains(txt, '<') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(tag) - 1))
                          WHEN reference RLIKE '^#?[a-zA-Z0-9]*$' AND contains(txt, '&') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(reference) - 1))
                          WHEN right(trimmed, 1) IN (']', '…', ')', '\uFFFD', '.', 'e', 'd') THEN rtrim(' \n\r\t', regexp_replace(trimmed, r'{OMISSION}', '')) ELSE trimmed END AS txt FROM open),
-            parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(replace(regexp_replace(translate(txt, '\r\xa0', ' '), '{DIGITS}', '#'), '\t', ' | '), '\n') AS ls FROM shut WHERE txt <> ''),
+            parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(replace(regexp_replace(replace(replace(txt, '\r', ''), chr(160), ' '), '{DIGITS}', '#'), '\t', ' | '), '\n') AS ls FROM shut WHERE txt <> ''),
             lines AS (SELECT id, code, lined, content, t.l, t.before, trim(t.after) = '' AS block, t.after IS NULL AS last
                       FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after),
             words AS (SELECT *, array_remove(split(l, ' '), '') AS ws FROM lines)
             SELECT id, content, lined, last, coalesce(block, true) AS block,
-                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN length(l) - length(translate(l, '{CELL_SIGNS}', '')) < 1 THEN 'p' WHEN l RLIKE r'{CELLS}' THEN 'c' WHEN l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg,
+                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN ({signs}) AND l RLIKE r'{CELLS}' OR contains(l, ',') AND l RLIKE r'{COMMAS}' THEN 'c' WHEN contains(l, ':') AND l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg,
                    concat(if(code, array(coalesce(element_at(split(trim(before), ' '), -1), '^'), '⏎'), array('^', '^')), ws) AS w,
                    concat(array('', ''), if(code, array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), ''), array())) AS s
             FROM words WHERE size(ws) > 0"""
         )
         # the kinds of a line's words, and in code their shapes
-        lines = lines.selectExpr("*", f"transform(w, z -> {_kind('z')}) AS k").selectExpr("id", "content", "lined", "last", "block", "reg", "w", "k", "if(reg = 'k', s, k) AS s")
+        lines = lines.selectExpr("*", f"transform(w, z -> {_KIND}) AS k").selectExpr("id", "content", "lined", "last", "block", "reg", "w", "k", "if(reg = 'k', s, k) AS s")
         view("lines", materialize(lines, "p8-lines"))
         last = spark.sql(
             f"""
-            SELECT id, content, kz = 'S' AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_keys('z')}) AS forms
-            FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(k, -1) AS kz, element_at(s, -1) AS s FROM lines_{tag} WHERE last)"""
+            SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_keys('z')}) AS forms
+            FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(s, -1) AS s FROM lines_{tag} WHERE last)"""
         )
         view("last", materialize(last, "p8-last"))
         # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
