@@ -120,20 +120,18 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
             parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(replace(regexp_replace(replace(replace(txt, '\r', ''), chr(160), ' '), '{DIGITS}', '#'), '\t', ' | '), '\n') AS ls FROM shut WHERE txt <> ''),
             lines AS (SELECT id, code, lined, content, t.l, t.before, trim(t.after) = '' AS block, t.after IS NULL AS last
                       FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after),
-            words AS (SELECT *, array_remove(split(l, ' '), '') AS ws FROM lines)
-            SELECT id, content, lined, last, coalesce(block, true) AS block,
-                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN ({signs}) AND l RLIKE r'{CELLS}' OR contains(l, ',') AND l RLIKE r'{COMMAS}' THEN 'c' WHEN contains(l, ':') AND l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg,
-                   concat(if(code, array(coalesce(element_at(split(trim(before), ' '), -1), '^'), '⏎'), array('^', '^')), ws) AS w,
-                   concat(array('', ''), if(code, array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), ''), array())) AS s
-            FROM words WHERE size(ws) > 0"""
+            SELECT id, content, lined, last, coalesce(block, true) AS block, l, if(code, coalesce(element_at(split(trim(before), ' '), -1), '^'), '^') AS before,
+                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN ({signs}) AND l RLIKE r'{CELLS}' OR contains(l, ',') AND l RLIKE r'{COMMAS}' THEN 'c' WHEN contains(l, ':') AND l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg
+            FROM lines WHERE trim(l) <> ''"""
         )
-        # the kinds of a line's words, and in code their shapes
-        lines = lines.selectExpr("*", f"transform(w, z -> {_KIND}) AS k").selectExpr("id", "content", "lined", "last", "block", "reg", "w", "k", "if(reg = 'k', s, k) AS s")
-        view("lines", materialize(lines, "p8-lines"))
+        view("lines", materialize(lines, "p8-lines"))  # cleaned lines: smaller than their words, which are cheap to part
+        # words with two before a line's first, their kinds, and in code their shapes
+        words = spark.sql(f"SELECT *, concat(array(before, if(reg = 'k', '⏎', '^')), array_remove(split(l, ' '), '')) AS w, if(reg = 'k', concat(array('', ''), array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), '')), null) AS shapes FROM lines_{tag}")
+        view("words", words.selectExpr("id", "content", "lined", "last", "block", "reg", "w", f"transform(w, z -> {_KIND}) AS k", "shapes").selectExpr("*", "coalesce(shapes, k) AS s"))
         last = spark.sql(
             f"""
             SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_keys('z')}) AS forms
-            FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(s, -1) AS s FROM lines_{tag} WHERE last)"""
+            FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(s, -1) AS s FROM words_{tag} WHERE last)"""
         )
         view("last", materialize(last, "p8-last"))
         # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
@@ -147,7 +145,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         counted = spark.sql(
             f"""
             WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n, t.kx, t.ky, t.s
-                              FROM lines_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3), slice(k, 1, size(w) - 2), slice(k, 2, size(w) - 2), slice(s, 3, size(w) - 2))) t AS x, y, z, n, kx, ky, s),
+                              FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3), slice(k, 1, size(w) - 2), slice(k, 2, size(w) - 2), slice(s, 3, size(w) - 2))) t AS x, y, z, n, kx, ky, s),
             inner_trigrams AS (SELECT *, n IN ({PARTERS}) AS stop, n = '$' AS over FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
             grams AS (SELECT explode({_keys('z')}) AS f, over, stop, block, reg FROM inner_trigrams UNION ALL SELECT explode({_LINE_KEYS}), over, stop, block, reg FROM inner_trigrams WHERE over AND reg = 'k')
             SELECT {hint} f.p, f.w, reg = 'k' AS code, sum(if(stop, 0, 1)) AS on, sum(if(over AND NOT block, 1, 0)) AS line, sum(if(stop AND (block OR NOT over), 1, 0)) AS block
