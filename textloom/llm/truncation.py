@@ -116,10 +116,10 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
             shut AS (SELECT id, code, lined, CASE WHEN code THEN trimmed
                          WHEN instr(tag, '>') = 0 AND tag RLIKE '^[a-zA-Z/]' AND contains(txt, '<') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(tag) - 1))
                          WHEN reference RLIKE '^#?[a-zA-Z0-9]*$' AND contains(txt, '&') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(reference) - 1))
-                         WHEN right(trimmed, 1) IN (']', '…', ')', '\uFFFD', '.', 'e', 'd') THEN rtrim(' \n\r\t', regexp_replace(trimmed, r'{OMISSION}', '')) ELSE trimmed END AS txt FROM open),
+                         WHEN substring_index(trimmed, ' ', -1) RLIKE r'{MARKED}' THEN rtrim(' \n\r\t', regexp_replace(trimmed, r'{OMISSION}', '')) ELSE trimmed END AS txt FROM open),
             parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(replace(regexp_replace(replace(replace(txt, '\r', ''), chr(160), ' '), '{DIGITS}', '#'), '\t', ' | '), '\n') AS ls FROM shut WHERE txt <> ''),
             lines AS (SELECT id, code, lined, content, t.l, t.before, trim(t.after) = '' AS block, t.after IS NULL AS last
-                      FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after),
+                      FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after)
             SELECT id, content, lined, last, coalesce(block, true) AS block, l, if(code, coalesce(element_at(split(trim(before), ' '), -1), '^'), '^') AS before,
                    CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN ({signs}) AND l RLIKE r'{CELLS}' OR contains(l, ',') AND l RLIKE r'{COMMAS}' THEN 'c' WHEN contains(l, ':') AND l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg
             FROM lines WHERE trim(l) <> ''"""
