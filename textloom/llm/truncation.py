@@ -65,23 +65,17 @@ def _structs(keys: list[tuple[str, str]]) -> str:
     return "array(" + ", ".join(f"named_struct('p', {p}, 'w', {w})" for p, w in keys) + ")"
 
 
-def _keys(z: str) -> str:
-    """Keys of a trigram x y z (kinds kx, ky; s: the shape of z in code, else its kind) in the order they are asked: where z
-    is looked up among words that begin alike (1, 2: under the first word and under its kind; 4: under kinds
-    only), and by its shape or kind (3, 5)."""
-    return _structs(
-        [
-            (f"xxhash64(1, x, y, reg, left({z}, 1))", z),
-            (f"xxhash64(2, kx, y, reg, left({z}, 1))", z),
-            ("xxhash64(3, kx, y, reg, if(reg = 'k', left(s, 1), s))", "if(reg = 'k', s, '')"),
-            (f"xxhash64(4, kx, ky, reg, left({z}, 1))", z),
-            ("if(reg = 'k', xxhash64(5, kx, ky, left(s, 1)), 0)", "if(reg = 'k', s, '')"),
-        ]
-    )
-
-
+#: Hashes of the places a third word may stand in: under the first word or its kind, at the second word or its kind; for
+#: code also at places for shapes. With the third word's first sign (c) or its shape or kind (s) they make the keys.
+_PLACES = "xxhash64(1, x, y, reg) AS h1, xxhash64(2, kx, y, reg) AS h2, xxhash64(3, kx, y, reg, if(reg = 'k', left(s, 1), s)) AS h3, xxhash64(4, kx, ky, reg) AS h4, if(reg = 'k', xxhash64(5, kx, ky, left(s, 1)), 0) AS h5, shiftleft(cast(ascii(z) AS bigint), 40) AS c"
+_PROSE = [("h1 ^ c", "z"), ("h2 ^ c", "z"), ("h3", "''"), ("h4 ^ c", "z")]
+_CODE = [("h1 ^ c", "z"), ("h2 ^ c", "z"), ("h3", "s"), ("h4 ^ c", "z"), ("h5", "s")]
+#: Keys of a trigram x y z (kinds kx, ky; s: the shape of z in code, else its kind) in the order they are asked.
+_KEYS = f"if(reg = 'k', {_structs(_CODE)}, {_structs(_PROSE)})"
 #: Keys of the end of a finished line of code, asked in this order.
 _LINE_KEYS = _structs([("xxhash64(6, x, y, z)", "''"), ("xxhash64(7, kx, y, z)", "''"), ("xxhash64(8, kx, ky, z)", "''"), ("xxhash64(9, right(s, 1))", "''")])
+#: The last trigram of a line.
+_LAST = "element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(s, -1) AS s"
 
 
 def _bound(side: str, z: float) -> str:
@@ -130,13 +124,13 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         view("words", words.selectExpr("id", "content", "lined", "last", "block", "reg", "w", f"transform(w, z -> {_KIND}) AS k", "shapes").selectExpr("*", "coalesce(shapes, k) AS s"))
         last = spark.sql(
             f"""
-            SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_keys('z')}) AS forms
-            FROM (SELECT id, content, reg, lined, element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(s, -1) AS s FROM words_{tag} WHERE last)"""
+            SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_KEYS}) AS forms
+            FROM (SELECT *, {_PLACES} FROM (SELECT id, content, reg, lined, {_LAST} FROM words_{tag} WHERE last))"""
         )
         view("last", materialize(last, "p8-last"))
         # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
         wanted = spark.sql(
-            f"SELECT f.p, f.w AS z, count(DISTINCT content) AS texts, max(lined) AS lined FROM (SELECT content, lined, explode(forms) AS f FROM last_{tag} WHERE NOT stopped) WHERE f.p <> 0 GROUP BY f.p, f.w"
+            f"SELECT f.p, f.w AS z, count(DISTINCT content) AS texts, max(lined) AS lined FROM (SELECT content, lined, explode(forms) AS f FROM last_{tag} WHERE NOT stopped) GROUP BY f.p, f.w"
         )
         view("wanted", materialize(wanted, "p8-wanted"))
         keys = materialize(spark.sql(f"SELECT DISTINCT p FROM wanted_{tag}"), "p8-keys")
@@ -146,8 +140,8 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
             f"""
             WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n, t.kx, t.ky, t.s
                               FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3), slice(k, 1, size(w) - 2), slice(k, 2, size(w) - 2), slice(s, 3, size(w) - 2))) t AS x, y, z, n, kx, ky, s),
-            inner_trigrams AS (SELECT *, n IN ({PARTERS}) AS stop, n = '$' AS over FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
-            grams AS (SELECT explode({_keys('z')}) AS f, over, stop, block, reg FROM inner_trigrams UNION ALL SELECT explode({_LINE_KEYS}), over, stop, block, reg FROM inner_trigrams WHERE over AND reg = 'k')
+            places AS (SELECT reg, z, s, n IN ({PARTERS}) AS stop, n = '$' AS over, block, {_PLACES} FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
+            grams AS (SELECT explode({_KEYS}) AS f, over, stop, block, reg FROM places UNION ALL SELECT explode({_LINE_KEYS}), true, true, block, reg FROM (SELECT block, reg, {_LAST} FROM words_{tag} WHERE reg = 'k' AND NOT last))
             SELECT {hint} f.p, f.w, reg = 'k' AS code, sum(if(stop, 0, 1)) AS on, sum(if(over AND NOT block, 1, 0)) AS line, sum(if(stop AND (block OR NOT over), 1, 0)) AS block
             FROM grams LEFT SEMI JOIN keys_{tag} k ON f.p = k.p GROUP BY f.p, f.w, reg = 'k'"""
         )
