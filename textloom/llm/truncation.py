@@ -121,11 +121,14 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         view("lines", materialize(lines, "p8-lines"))  # cleaned lines: smaller than their words, which are cheap to part
         # words with two before a line's first, their kinds, and in code their shapes
         words = spark.sql(f"SELECT *, concat(array(before, if(reg = 'k', '⏎', '^')), array_remove(split(l, ' '), '')) AS w, if(reg = 'k', concat(array('', ''), array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), '')), null) AS shapes FROM lines_{tag}")
-        view("words", words.selectExpr("id", "content", "lined", "last", "block", "reg", "w", f"transform(w, z -> {_KIND}) AS k", "shapes").selectExpr("*", "coalesce(shapes, k) AS s"))
+        kinds = f"transform(w, z -> {_KIND}) AS k"
+        view("words", words.selectExpr("last", "block", "reg", "w", kinds, "shapes").selectExpr("*", "coalesce(shapes, k) AS s"))
+        ends = words.selectExpr("id", "content", "lined", "last", "block", "reg", "slice(w, -3, 3) AS w", "slice(shapes, -3, 3) AS shapes")
+        view("line_ends", ends.selectExpr("*", kinds).selectExpr("*", "coalesce(shapes, k) AS s"))
         last = spark.sql(
             f"""
             SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_KEYS}) AS forms
-            FROM (SELECT *, {_PLACES} FROM (SELECT id, content, reg, lined, {_LAST} FROM words_{tag} WHERE last))"""
+            FROM (SELECT *, {_PLACES} FROM (SELECT id, content, reg, lined, {_LAST} FROM line_ends_{tag} WHERE last))"""
         )
         view("last", materialize(last, "p8-last"))
         # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
@@ -141,7 +144,7 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
             WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n, t.kx, t.ky, t.s
                               FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3), slice(k, 1, size(w) - 2), slice(k, 2, size(w) - 2), slice(s, 3, size(w) - 2))) t AS x, y, z, n, kx, ky, s),
             places AS (SELECT reg, z, s, n IN ({PARTERS}) AS stop, n = '$' AS over, block, {_PLACES} FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
-            grams AS (SELECT explode({_KEYS}) AS f, over, stop, block, reg FROM places UNION ALL SELECT explode({_LINE_KEYS}), true, true, block, reg FROM (SELECT block, reg, {_LAST} FROM words_{tag} WHERE reg = 'k' AND NOT last))
+            grams AS (SELECT explode({_KEYS}) AS f, over, stop, block, reg FROM places UNION ALL SELECT explode({_LINE_KEYS}), true, true, block, reg FROM (SELECT block, reg, {_LAST} FROM line_ends_{tag} WHERE reg = 'k' AND NOT last))
             SELECT {hint} f.p, f.w, reg = 'k' AS code, sum(if(stop, 0, 1)) AS on, sum(if(over AND NOT block, 1, 0)) AS line, sum(if(stop AND (block OR NOT over), 1, 0)) AS block
             FROM grams LEFT SEMI JOIN keys_{tag} k ON f.p = k.p GROUP BY f.p, f.w, reg = 'k'"""
         )
