@@ -4,6 +4,8 @@ import random
 import numpy as np
 import pytest
 import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from textloom.llm import kernels, leaks, mixing, neardup, packing, pii, quality, tokens, truncation
@@ -73,6 +75,23 @@ def test_personal_data():
     assert pii.verhoeff("2363") and not pii.verhoeff("2364")
 
 
+SPELL = "zero one two three four five six seven eight nine".split()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("0123456789", min_size=9, max_size=9), st.sampled_from(["plain", "native", "full", "words"]), st.integers(1, 200), st.sampled_from(["@", " (at) ", " [at] ", "&#64;", "＠"]), st.sampled_from([".", " (dot) ", "&period;"]))
+def test_nothing_of_a_disguised_value_is_left(tail, disguise, long, at, dot):
+    number = "9" + tail
+    told = {
+        "plain": number, "native": "".join(chr(0x966 + int(c)) for c in number), "full": "".join(chr(0xFF10 + int(c)) for c in number),
+        "words": " ".join(SPELL[int(c)] for c in number),
+    }[disguise]
+    mail = "ab." * long + "cd" + at + "sub" + dot + "x" * min(long, 60) + dot + "org"
+    text = f"Please call {told} now. Mail {mail} today."
+    hits = pii.detect([text], pii.Names([]))
+    assert pii.redact(text, [h[1:] for h in hits]) == "Please call [PHONE] now. Mail [EMAIL] today."
+
+
 def test_leaks(spark):
     item = "the quick brown fox jumps over one lazy dog while seven cats watch it from a wall"
     index = leaks.ItemIndex([5, 6], [item, "tiny words"], 13, 2)

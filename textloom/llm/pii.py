@@ -76,7 +76,7 @@ _DOT = re.compile(r"[ ]?[(\[{<][ ]?dot[ ]?[)\]}>][ ]?|(?<=[A-Za-z0-9]) dot (?=[A
 _DIGIT_WORDS = re.compile(r"\b(?:(?:" + "|".join(SPELLED) + r")[ ,-]{1,2}){6,}(?:" + "|".join(SPELLED) + r")\b", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
 
-EMAIL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+([A-Za-z]{2,24})(?![A-Za-z0-9])")
+DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+([A-Za-z]{2,24})(?![A-Za-z0-9])")
 PHONE = re.compile(
     r"(?<![\w.,/+-])(?:"
     r"(?:\+|00)\d{1,3}[ .-]?\(?\d{2,5}\)?(?:[ .-]?\d{3,6}){1,3}"
@@ -203,7 +203,8 @@ def _plain(text: str) -> str:
 
 
 class Rewritten:
-    """The rewritten batch: ``text`` and, for each of its characters, the index in the source."""
+    """The rewritten batch: ``text`` and, for each of its characters, where the source characters that it stands
+    for begin (``index``) and end (``stop``)."""
 
     def __init__(self, texts: list[str | None]):
         big = join_texts(texts)
@@ -211,36 +212,78 @@ class Rewritten:
         ends = np.flatnonzero(codes == 0)
         self.starts = np.concatenate((np.zeros(1, np.int64), ends + 1))
         codes = _lut()[codes].copy()
+        stop = np.arange(1, len(codes) + 1)
         if "&" in big:
             for m in _REFERENCE.finditer(big):
                 codes[m.start()] = ord(REFERENCES[m[0]])
                 codes[m.start() + 1 : m.end()] = DROP
+                stop[m.start()] = m.end()
         keep = codes != DROP
-        self.index = np.flatnonzero(keep)
+        self.index, self.stop = np.flatnonzero(keep), stop[keep]
         self.text = codes[keep].tobytes().decode("utf-32-le", "replace")
         for pattern, sign in ((_AT, "@"), (_DOT, "."), (_DIGIT_WORDS, None)):
             self._contract(pattern, sign)
 
     def _contract(self, pattern: re.Pattern, sign: str | None) -> None:
+        """Each match becomes one sign that stands for all of it, or a figure for each of its words."""
         hits = list(pattern.finditer(self.text))
         if not hits:
             return
         codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
         keep = np.ones(len(codes), bool)
         for m in hits:
-            new = sign or "".join(SPELLED[w.lower()] for w in _WORD.findall(m[0]))
-            codes[m.start() : m.start() + len(new)] = [ord(c) for c in new]
-            keep[m.start() + len(new) : m.end()] = False
-        self.index = self.index[keep]
+            parts = [(sign, m.start(), m.end())] if sign else [(SPELLED[w[0].lower()], w.start(), w.end()) for w in _WORD.finditer(self.text, m.start(), m.end())]
+            keep[m.start() : m.end()] = False
+            for new, a, b in parts:
+                codes[a], keep[a] = ord(new), True
+                self.stop[a] = self.stop[b - 1]
+        self.index, self.stop = self.index[keep], self.stop[keep]
         self.text = codes[keep].tobytes().decode("utf-32-le", "replace")
 
     def source(self, start: int, end: int) -> tuple[int, int, int]:
         """(text number, start, end) in the source of a span of the rewritten string."""
-        a, b = int(self.index[start]), int(self.index[end - 1]) + 1
+        a, b = int(self.index[start]), int(self.stop[end - 1])
         doc = int(np.searchsorted(self.starts, a, "right")) - 1
         return doc, a - int(self.starts[doc]), b - int(self.starts[doc])
 
 
+def _runs(codes: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every place the beginning and the end of the run of allowed signs before it and from it on."""
+    bad = ~allowed[np.minimum(codes, 127)] | (codes > 126)
+    place = np.arange(len(codes))
+    before = np.maximum.accumulate(np.where(bad, place, -1)) + 1
+    after = np.minimum.accumulate(np.where(bad, place, len(codes))[::-1])[::-1]
+    return before, after
+
+
+_LOCAL, _DOMAIN = np.zeros(128, bool), np.zeros(128, bool)
+for _c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789":
+    _LOCAL[ord(_c)] = _DOMAIN[ord(_c)] = True
+for _c in "._%+-":
+    _LOCAL[ord(_c)] = True
+for _c in ".-":
+    _DOMAIN[ord(_c)] = True
+
+
+def _addresses(text: str, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Spans of mail addresses of any length: the signs around each ``@`` that addresses are written with."""
+    at = np.flatnonzero(codes == 64)
+    if not len(at):
+        return
+    before, after = _runs(codes, _LOCAL)[0], _runs(codes, _DOMAIN)[1]
+    for i in at.tolist():
+        if i == 0 or i + 1 >= len(codes):
+            continue
+        lo, hi = int(before[i - 1]), int(after[i + 1])
+        while lo < i and not text[lo].isalnum():
+            lo += 1
+        if lo == i or not text[i - 1].isalnum():
+            continue
+        m = DOMAIN.match(text, i + 1, hi)
+        if m and m[1].lower() not in FILES:
+            yield lo, m.end()
+
+
 def _segments(codes: np.ndarray, least: int, gap: int, margin: int) -> list[tuple[int, int]]:
     """Stretches around figures: at least ``least`` of them with at most ``gap`` other characters between."""
     at = np.flatnonzero((codes >= 48) & (codes <= 57))
@@ -257,17 +300,8 @@ def detect(texts: list[str | None], names: Names) -> list[tuple[int, int, int, s
     the label listed first wins, so figures inside a mail address are no phone number."""
     r = Rewritten(texts)
     text = r.text
-    spans: list[tuple[int, int, str]] = []
-    at = text.find("@")
-    while at >= 0:
-        m = None
-        for m in EMAIL.finditer(text, max(0, at - 80, spans[-1][1] if spans else 0), at + 120):
-            if m.start() < at < m.end():
-                if m[1].lower() not in FILES:
-                    spans.append((m.start(), m.end(), "EMAIL"))
-                break
-        at = text.find("@", at + 1)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    spans: list[tuple[int, int, str]] = [(a, b, "EMAIL") for a, b in _addresses(text, codes)]
     taken = np.zeros(len(codes) + 1, bool)
     for a, b, _ in spans:
         taken[a:b] = True
@@ -297,7 +331,7 @@ def detect(texts: list[str | None], names: Names) -> list[tuple[int, int, int, s
             continue
         m = ADDRESS.match(text, a)
         if m:
-            before = _BEFORE.search(text, max(0, a - 16), a)
+            before = _BEFORE.search(text, max(0, a - 16), a)  # no match of that pattern is longer
             add(before.start() if before else a, m.end(), "ADDRESS")
     spans.extend(_names(text, codes, names, taken))
     return [(*r.source(a, b), label) for a, b, label in spans]
@@ -421,7 +455,7 @@ def _scanner(lexicon, rewrite: bool):
     return run
 
 
-#: The lexicon is broadcast up to this many entries; more would need a join and is refused.
+#: The lexicon is broadcast; one of more entries than this (some 30 MB) is refused rather than cut.
 LEXICON_ROWS = 500_000
 
 
