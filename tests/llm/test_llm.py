@@ -100,6 +100,9 @@ def test_leaks(spark):
     assert got == {(0, 5), (2, 6)}
     edited = {(d, i): e for d, i, e in index.scan([item.replace("lazy", "lazzy").replace("seven", "sevem")])}
     assert edited[(0, 0)] in (0, 1, 2)
+    tiny = leaks.ItemIndex([1, 2, 3, 4], ["if a", "ok?", "is it so", "the old road by"], 13, 2)
+    assert {(d, int(tiny.ids[i])) for d, i, e in tiny.scan(["IF-A b", "nok", "is IT, so!", "an old road", "the old road bi"]) if e == 0} == {(0, 1), (1, 2), (2, 3)}
+    assert max(q for q, *_ in tiny.tables) == 5 and min(q for q, *_ in tiny.tables) > 1  # no table of single characters
     empty = spark.createDataFrame([], "id long, t string")
     assert leaks.find_leaks(empty, "id", "t", empty, "id", "t").count() == 0
 
