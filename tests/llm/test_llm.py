@@ -26,7 +26,21 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == want and len(want) >= 10
     groups = neardup.NearDuplicates(df, "id", "text").groups().collect()
     assert {r.row_id for r in groups} == {i for p in want for i in p}
+    near: dict[int, int] = {i: i for i in range(len(texts))}
+    for _ in range(len(texts)):
+        for i, j in want:
+            near[i] = near[j] = min(near[i], near[j])
+    assert {r.row_id: r.group_id for r in groups} == {i: near[i] for p in want for i in p}
     assert neardup.NearDuplicates(df.limit(0), "id", "text").found().count() == 0
+    assert neardup.NearDuplicates(df.limit(0), "id", "text").groups().count() == 0
+
+
+def test_a_crowd_of_like_texts_is_one_group(spark):
+    rng = random.Random(5)
+    body = prose(rng, 80)
+    texts = [body + " " + prose(rng, 4) for _ in range(60)] + [prose(rng, 80) for _ in range(5)]
+    near = neardup.NearDuplicates(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text")
+    assert {(r.row_id, r.group_id) for r in near.groups().collect()} == {(i, 0) for i in range(60)}
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"])

@@ -21,12 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.kernels import codes_of, gram_hashes, join_texts, mix, spaces
-from textloom.operators.components import connected_components
+from textloom.operators.components import linked_groups
 from textloom.storage import materialize
 
 Q = 5
 SEGMENTS, SYMBOLS, ROUNDS = 10, 7, 5
 SKETCH = 28  # symbols whose low two bits go into the one-word sketch that travels with every key
+#: The sketch's highest byte holds the number of distinct sequences, in so many steps a doubling. Texts of similarity J
+#: differ in it by a factor of at most 1 / J, so comparing it first loses no pair.
+SIZE_STEPS = 12
 #: The complete distances allowed are this many standard deviations beyond the expectation at the threshold.
 SIGMAS = 4.0
 #: Ids of paired texts are broadcast up to this number (16 bytes each), joined by shuffle beyond it.
@@ -90,6 +93,9 @@ def fingerprints(texts: list[str | None]) -> dict[str, np.ndarray]:
     sketch = np.zeros(n, np.uint64)
     for j in range(SKETCH):
         sketch |= (sym[:, j * 5 // 2].astype(np.uint64) & np.uint64(3)) << np.uint64(2 * j)
+    distinct = np.array([len(np.unique(g)) for g in np.split(grams, np.searchsorted(owner, np.arange(1, n)))])
+    size = np.minimum(255, np.floor(np.log2(np.maximum(distinct, 1)) * SIZE_STEPS)).astype(np.uint64)
+    sketch |= size << np.uint64(56)
     return {"h1": h1, "h2": h2, "n": count.astype(np.int64), "segs": segs.view(np.int64), "sketch": sketch.view(np.int64)}
 
 
@@ -130,7 +136,12 @@ def _exact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _mismatches(x, y):
     """Symbols (of two bits each) in which two sketches differ."""
     d = x.bitwiseXOR(y)
-    return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x55555555555555)))
+
+
+def _like_sizes(x, y, threshold: float):
+    """Whether two sketches may belong to texts of that similarity by their numbers of sequences."""
+    return F.abs(F.shiftrightunsigned(x, 56) - F.shiftrightunsigned(y, 56)) <= int(SIZE_STEPS * np.log2(1 / threshold) + 1)
 
 
 def _distance():
@@ -173,9 +184,8 @@ class NearDuplicates:
         """(rid, rep, copies): the class of every text that holds a five-character sequence."""
         return self.prints.select("rid", "h1", "h2").join(self.classes, ["h1", "h2"]).select("rid", "rep", "copies")
 
-    def candidates(self) -> DataFrame:
-        """(a, b), a < b: different texts that share a table entry and lie within the complete distance."""
-        t = self.threshold
+    def tables(self) -> DataFrame:
+        """(key, rid, sketch): the entries of every different text, one for each segment and masked symbol."""
         masks = [(i, ~(0xFF << 8 * i) & 0xFFFFFFFFFFFFFF) for i in range(SYMBOLS)]
 
         def entry(i: int, mask: int):
@@ -183,28 +193,32 @@ class NearDuplicates:
             right = F.shiftrightunsigned(F.col("v").bitwiseAND(F.lit(mask >> 8 * (i + 1) << 8 * (i + 1))), 8)
             return left.bitwiseOR(right).bitwiseOR(F.shiftleft((F.col("s") * SYMBOLS + i).cast("long"), 48))
 
-        keys = (
-            self.reps.select("rid", "sketch", F.posexplode("segs").alias("s", "v"))
-            .select(F.explode(F.array(*[entry(i, m) for i, m in masks])).alias("key"), "rid", "sketch")
-        )
+        return self.reps.select("rid", "sketch", F.posexplode("segs").alias("s", "v")).select(F.explode(F.array(*[entry(i, m) for i, m in masks])).alias("key"), "rid", "sketch")
+
+    def near(self, x, y):
+        """Whether two sketches allow for the similarity."""
+        return _like_sizes(x, y, self.threshold) & (_mismatches(x, y) <= _slack(SKETCH, 0.75 * (1 - self.threshold)))
+
+    def candidates(self) -> DataFrame:
+        """(a, b), a < b: different texts that share a table entry and whose sketches allow for the similarity."""
+        keys = self.tables()
         a, b = keys.alias("a"), keys.alias("b")
-        near = _mismatches(F.col("a.sketch"), F.col("b.sketch")) <= _slack(SKETCH, 0.75 * (1 - t))
-        met = (
-            a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rid") < F.col("b.rid")) & near)
-            .select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b"))
-            .distinct()
-        )
+        met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rid") < F.col("b.rid")) & self.near(F.col("a.sketch"), F.col("b.sketch")))
+        return met.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+
+    def within(self, met: DataFrame) -> DataFrame:
+        """Of pairs (a, b) those within the complete distance."""
         segs = self.reps.select("rid", "segs")
         return (
             met.join(segs.select(F.col("rid").alias("a"), F.col("segs").alias("segs_a")), "a")
             .join(segs.select(F.col("rid").alias("b"), F.col("segs").alias("segs_b")), "b")
-            .where(_distance() <= _slack(SEGMENTS * SYMBOLS, 1 - t))
+            .where(_distance() <= _slack(SEGMENTS * SYMBOLS, 1 - self.threshold))
             .select("a", "b")
         )
 
-    def links(self) -> DataFrame:
-        """(a, b, similarity): all met pairs of different texts at or above the threshold, verified exactly."""
-        pairs = materialize(self.candidates(), "p5-pairs")
+    def verified(self, met: DataFrame) -> DataFrame:
+        """(a, b, similarity): of pairs of different texts those at or above the threshold, by the complete distance, then exactly."""
+        pairs = materialize(self.within(met), "p5-pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
         if 2 * pairs.count() <= BROADCAST_IDS:  # keeps texts that no pair needs out of the shuffle
             wanted = F.broadcast(wanted)
@@ -215,6 +229,10 @@ class NearDuplicates:
         checked = full.mapInArrow(_exact_batches, "a long, b long, similarity double")
         return checked.where(F.col("similarity") >= self.threshold)
 
+    def links(self) -> DataFrame:
+        """(a, b, similarity): all met pairs of different texts at or above the threshold, verified exactly."""
+        return self.verified(self.candidates())
+
     def found(self) -> DataFrame:
         """(row_id_a, row_id_b): every pair of rows, copies expanded; the form TESTDATA.md fixes."""
         links = materialize(self.links(), "p5-links")
@@ -229,24 +247,21 @@ class NearDuplicates:
         )
 
     def groups(self) -> DataFrame:
-        """(row_id, class_id, group_id, copies, n_links): one row per text that has a copy or a link.
+        """(row_id, class_id, group_id, copies): one row per text that has a copy or a link.
 
-        class_id is the least id with an equal text, group_id the least id of the connected group,
-        n_links the number of different texts that this text is linked to.
+        class_id is the least id with an equal text, group_id the least id of the connected group. Pairs of a crowd
+        are not formed: table entries are linked through their least text, and further only between groups.
         """
-        links = materialize(self.links(), "p5-links")
-        degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-        parts = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")
+
+        def linked(pairs: DataFrame) -> DataFrame:
+            sketch = self.reps.select("rid", "sketch")
+            both = pairs.join(sketch.select(F.col("rid").alias("a"), F.col("sketch").alias("x")), "a").join(sketch.select(F.col("rid").alias("b"), F.col("sketch").alias("y")), "b")
+            return self.verified(both.where(self.near(F.col("x"), F.col("y"))).select("a", "b"))
+
+        parts = linked_groups(self.tables().select(F.col("key").alias("bucket"), F.col("rid").alias("node")), linked)
         return (
             self.membership()
-            .join(degree, "rep", "left")
-            .join(parts, "rep", "left")
-            .where("copies > 1 or n_links > 0")
-            .select(
-                F.col("rid").alias("row_id"),
-                F.col("rep").alias("class_id"),
-                F.coalesce("component", "rep").alias("group_id"),
-                "copies",
-                F.coalesce("n_links", F.lit(0)).alias("n_links"),
-            )
+            .join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
+            .where("copies > 1 or component is not null")
+            .select(F.col("rid").alias("row_id"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("group_id"), "copies")
         )

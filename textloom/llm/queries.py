@@ -15,7 +15,7 @@ from textloom.llm.pii import find_personal_data, redact_personal_data
 from textloom.llm.quality import NAMES, text_kinds
 from textloom.llm.tokens import expected_counts, language, token_counts
 from textloom.llm.truncation import cut_texts
-from textloom.storage import materialize, table
+from textloom.storage import materialize, scratch, table
 
 
 def p1_shares(spark: SparkSession, d: str) -> DataFrame:
@@ -108,18 +108,21 @@ def p4_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").found()
+    with scratch() as tables:
+        return tables.keep(materialize(NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").found(), "p5-found"))
 
 
 def p5_groups(spark: SparkSession, d: str) -> DataFrame:
-    return NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").groups()
+    with scratch() as tables:
+        return tables.keep(materialize(NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").groups(), "p5-groups"))
 
 
 def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, d, "documents").where(F.col("lane").isin("web", "indic"))
-    counts = token_counts(docs, "doc_id", "text")
-    sized = materialize(counts.join(docs.select(F.col("doc_id").alias("id"), "lane"), "id").select("lane", F.col("id").alias("doc_id"), "tokens"), "p6-sized")
-    return sized, pack_sequences(sized, "lane", "doc_id", "tokens")
+    with scratch() as tables:
+        counts = token_counts(docs, "doc_id", "text")
+        sized = tables.keep(materialize(counts.join(docs.select(F.col("doc_id").alias("id"), "lane"), "id").select("lane", F.col("id").alias("doc_id"), "tokens"), "p6-sized"))
+        return sized, tables.keep(materialize(pack_sequences(sized, "lane", "doc_id", "tokens"), "p6-packed"))
 
 
 def p6_packed(spark: SparkSession, d: str) -> DataFrame:
