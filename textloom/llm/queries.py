@@ -12,7 +12,7 @@ from textloom.llm.mixing import mixture_report, mixture_uses
 from textloom.llm.neardup import NearDuplicates
 from textloom.llm.packing import CAPACITY, pack_sequences
 from textloom.llm.pii import find_personal_data, redact_personal_data
-from textloom.llm.quality import NAMES, text_kinds
+from textloom.llm.quality import NAMES, holdout_report, text_kinds
 from textloom.llm.tokens import expected_counts, language, token_counts
 from textloom.llm.truncation import cut_texts
 from textloom.storage import materialize, scratch, table
@@ -107,6 +107,11 @@ def p4_stats(spark: SparkSession, d: str) -> DataFrame:
     return _kinds(spark, d).select(F.col("id").alias("row_id"), "kind", F.round("probability", 6).alias("probability"), *stats)
 
 
+def p4_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """Checked against found kinds of the labelled rows that neither training nor calibration has seen."""
+    return holdout_report(table(spark, d, "prose_cleaned"), "row_id", "cleaned", table(spark, d, "quality_labels"), "row_id", "label_kind")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     with scratch() as tables:
         return tables.keep(materialize(NearDuplicates(table(spark, d, "prose_cleaned"), "row_id", "cleaned").found(), "p5-found"))
