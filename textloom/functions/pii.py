@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import unicodedata
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import EMAIL, URL
 
-OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-IPV4 = rf"\b(?:{OCTET}\.){{3}}{OCTET}\b"
-PAN = r"\b[A-Za-z]{5}[0-9]{4}[A-Za-z]\b"
+_EDGE, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+# The patterns of the ordered rules.
+OCTET = r"(?:25[0-5]|2[0-4]\p{Nd}|1?\p{Nd}?\p{Nd})"
+IPV4 = rf"{_EDGE}(?:{OCTET}\.){{3}}{OCTET}{_END}"
+PAN = rf"{_EDGE}[A-Za-z]{{5}}[0-9]{{4}}[A-Za-z]{_END}"
 PHONE = r"(?<!\p{Nd})(?:\+?91[-\s]?)?[6-9]\p{Nd}{9}(?!\p{Nd})"
 RUN = r"(?<!\p{Nd})\p{Nd}[\p{Nd} \-]{9,24}\p{Nd}(?!\p{Nd})"
 RULES = (("URL", URL), ("EMAIL", EMAIL), ("IP", IPV4), ("PAN", PAN), ("PHONE", PHONE))
+LABELS = (*(label for label, _ in RULES), "AADHAAR", "CREDIT_CARD")
+_NATIVE = [chr(i) for i in range(0x80, 0x20000) if unicodedata.decimal(chr(i), None) is not None]
 
 
 def verhoeff_ok(digits: Column) -> Column:
@@ -29,15 +35,40 @@ def verhoeff_ok(digits: Column) -> Column:
     return F.aggregate(numbered, F.lit(0), lambda c, p: F.element_at(dt, c * 10 + p + 1)) == 0
 
 
+def run_label(run: Column) -> Column:
+    """AADHAAR or CREDIT_CARD for a run of digits, blanks and dashes with the right length and check digit, else null."""
+    plain = F.regexp_replace(F.translate(run, "".join(_NATIVE), "".join(str(unicodedata.decimal(c)) for c in _NATIVE)), "[^0-9]", "")
+    return F.when((F.length(plain) == 12) & verhoeff_ok(plain), "AADHAAR").when(F.length(plain).between(13, 19) & F.call_function("luhn_check", plain), "CREDIT_CARD")
+
+
+def _is(label: str):
+    return lambda x: x == F.lit(label)
+
+
+def _between(c: Column, found: Column) -> Column:
+    """``c`` with its digit runs replaced in place: what stands between them and their labels, joined again."""
+    parts = F.split(c, RUN, -1)
+    return F.array_join(F.zip_with(parts, F.array_append(found, F.lit("")), lambda p, r: F.concat(p, r)), "")
+
+
 def redact(c: Column) -> Column:
-    """Text with URL, EMAIL, IP, PAN, PHONE placeholders, then checked digit runs (AADHAAR, CREDIT_CARD)."""
+    """Text with URL, EMAIL, IP, PAN, PHONE placeholders, then checked digit runs (AADHAAR, CREDIT_CARD), each run judged and
+    replaced where it stands; null stays null."""
     for label, pattern in RULES:
         c = F.regexp_replace(c, pattern, f"[{label}]")
-    runs = F.array_distinct(F.regexp_extract_all(c, F.lit(RUN), F.lit(0)))
+    named = F.transform(F.regexp_extract_all(c, F.lit(RUN), F.lit(0)), lambda r: F.coalesce(F.concat(F.lit("["), run_label(r), F.lit("]")), r))
+    return _between(c, named)
 
-    def one(text: Column, run: Column) -> Column:
-        plain = F.regexp_replace(run, r"[^0-9]", "")
-        label = F.when((F.length(plain) == 12) & verhoeff_ok(plain), "[AADHAAR]").when(F.length(plain).between(13, 19) & F.call_function("luhn_check", plain), "[CREDIT_CARD]")
-        return F.coalesce(F.replace(text, run, label), text)
 
-    return F.aggregate(runs, c, one)
+def redact_counted(df: DataFrame, text: str) -> DataFrame:
+    """``df`` plus ``redacted`` and ``counts``, a map of each label to its replacements in the row (0 where none; placeholders
+    that stood in the text already do not count). A null text has a null result and zero counts."""
+    df = df.withColumn("redacted", F.col(text))
+    for label, pattern in RULES:
+        df = df.withColumn(f"_n_{label}", F.coalesce(F.regexp_count("redacted", F.lit(pattern)), F.lit(0))).withColumn("redacted", F.regexp_replace("redacted", pattern, f"[{label}]"))
+    df = df.withColumn("_runs", F.regexp_extract_all("redacted", F.lit(RUN), F.lit(0))).withColumn("_named", F.transform("_runs", run_label))
+    for label in ("AADHAAR", "CREDIT_CARD"):
+        df = df.withColumn(f"_n_{label}", F.coalesce(F.size(F.filter("_named", _is(label))), F.lit(0)))
+    kept = F.zip_with("_named", "_runs", lambda n, r: F.coalesce(F.concat(F.lit("["), n, F.lit("]")), r))
+    df = df.withColumn("redacted", _between(F.col("redacted"), kept)).withColumn("counts", F.create_map(*[x for label in LABELS for x in (F.lit(label), F.greatest(F.lit(0), F.col(f"_n_{label}")))]))
+    return df.drop("_runs", "_named", *[f"_n_{label}" for label in LABELS])
