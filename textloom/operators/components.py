@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.storage import discard, materialize
@@ -55,24 +55,30 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     raise RuntimeError(f"components not stable after {max_rounds} rounds")
 
 
-def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(node, component) of all nodes with a link, where any two nodes of a bucket may be linked and ``verify`` tells.
 
     ``buckets`` holds (bucket, node), nodes in as many buckets as they like; ``verify`` takes pairs (a, b) and keeps the
-    linked ones. A bucket's members are first tried against its least node only; then what stands in different
+    linked ones. With ``near`` a column ``sketch`` of ``buckets`` travels along, and pairs whose sketches it
+    refuses are not formed. A bucket's members are first tried against its least node only; then what stands in different
     groups of one bucket is tried, the members outside its largest group against all others. So every pair
     of a bucket is either in one group already or tried, and a crowd of like nodes costs as much as it has members,
     not pairs. Buckets of one node, and an empty table, link nothing.
     """
-    heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("bucket", "head")
-    shared = materialize(buckets.join(heads, "bucket").distinct(), "link-buckets")
-    first = materialize(verify(shared.where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()).select("a", "b"), "link-first")
+    if near is None:
+        buckets, near = buckets.select("bucket", "node", F.lit(0).alias("sketch")), lambda x, y: F.lit(True)
+    heads = buckets.groupBy("bucket").agg(F.min(F.struct("node", "sketch")).alias("h"), F.count("*").alias("n")).where("n > 1")
+    shared = materialize(buckets.join(heads.select("bucket", F.col("h.node").alias("head"), F.col("h.sketch").alias("head_sketch")), "bucket"), "link-buckets")
+    tried = shared.where((F.col("node") > F.col("head")) & near(F.col("sketch"), F.col("head_sketch")))
+    first = materialize(verify(tried.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()).select("a", "b"), "link-first")
     groups = materialize(connected_components(first), "link-groups").select("node", F.col("component").alias("grp"))
-    placed = shared.join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
+    placed = shared.select("bucket", "node", "head", "sketch").join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
     parts = placed.groupBy("bucket", "grp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("grp", F.struct("n", "grp")).alias("main"))
     mixed = materialize(placed.join(parts.where("parts > 1").select("bucket", "main"), "bucket"), "link-mixed")
     # two nodes outside the main group meet twice, in both orders; pairs with the head have been tried
-    apart = mixed.where("grp <> main").alias("x").join(mixed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.grp") != F.col("y.grp")))
-    apart = apart.where("x.node <> x.head AND y.node <> y.head").select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    x, y = mixed.where("grp <> main AND node <> head").alias("x"), mixed.where("node <> head").alias("y")
+    once = (F.col("x.node") < F.col("y.node")) | (F.col("y.grp") == F.col("y.main"))
+    apart = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.grp") != F.col("y.grp")) & once & near(F.col("x.sketch"), F.col("y.sketch")))
+    apart = apart.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     second = verify(apart).select("a", "b")
     return connected_components(first.union(second))

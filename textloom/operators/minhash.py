@@ -125,11 +125,27 @@ def _exact_batches(k: int, unit: str):
     return run
 
 
+def sketch(n: int = 128):
+    """The two lowest bits of each of ``n`` values of ``sig``, 32 values a word."""
+    word = lambda w: F.aggregate(F.slice("sig", w * 32 + 1, 32), F.lit(0).cast("long"), lambda t, v: F.shiftleft(t, 2).bitwiseOR(v.bitwiseAND(F.lit(3).cast("long"))))
+    return F.array(*[word(w) for w in range(n // 32)])
+
+
+def may_reach(x, y, threshold: float, n: int = 128, sigmas: float = 4.0):
+    """Whether two sketches allow for a similarity: values differ in a sketch with probability 3/4 (1 - J), and at the threshold a
+    pair has more differences than allowed with probability under 1e-4, none if it is much above."""
+    even = F.lit(0x5555555555555555)
+    differ = lambda i: F.bit_count(x[i].bitwiseXOR(y[i]).bitwiseOR(F.shiftrightunsigned(x[i].bitwiseXOR(y[i]), 1)).bitwiseAND(even))
+    p = 0.75 * (1 - threshold)
+    return sum((differ(i) for i in range(1, n // 32)), differ(0)) <= int(n * p + sigmas * (n * p * (1 - p)) ** 0.5 + 1)
+
+
 def exact_groups(df: DataFrame, sigs: DataFrame, key: str, text: str, threshold: float = 0.8, rows: int = 4, k: int = 5, unit: str = "char", track: tuple[str, ...] = ()) -> DataFrame:
     """(node, component): groups of texts linked by an exact similarity of at least the threshold, of all that meet in a band.
 
-    In bands of ``rows`` = 4 of 128 values all but 5e-8 of the pairs at 0.8 meet. Links are found without all pairs of a
-    bucket, see :func:`linked_groups`.
+    In bands of ``rows`` = 4 of 128 values all but 5e-8 of the pairs at 0.8 meet; the sketches that keep unlike texts
+    of a bucket apart lose under 1e-4 of the pairs at just 0.8. Links are found without all pairs of a bucket, see
+    :func:`linked_groups`.
     """
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -139,7 +155,8 @@ def exact_groups(df: DataFrame, sigs: DataFrame, key: str, text: str, threshold:
         both = met.join(texts.select(F.col("_k").alias("a"), F.col("_t").alias("x")), "a").join(texts.select(F.col("_k").alias("b"), F.col("_t").alias("y")), "b")
         return both.mapInArrow(_exact_batches(k, unit), f"a {kind}, b {kind}, similarity double").where(F.col("similarity") >= threshold)
 
-    return linked_groups(sigs.select(F.explode(_bands(rows, *track)).alias("bucket"), F.col(key).alias("node")), linked)
+    entries = sigs.select(F.explode(_bands(rows, *track)).alias("bucket"), F.col(key).alias("node"), "sketch")
+    return linked_groups(entries, linked, lambda x, y: may_reach(x, y, threshold))
 
 
 def survivors(df: DataFrame, key: str, text: str, n: int = 128, threshold: float = 0.8, parity: bool = False, unit: str = "char", track: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -150,7 +167,7 @@ def survivors(df: DataFrame, key: str, text: str, n: int = 128, threshold: float
     more = ("_track",) if track else ()
     src = df.select(key, *keep, F.col(text).alias("_text"), *([F.coalesce(F.col(track).cast("string"), F.lit("")).alias("_track")] if track else []))
     sigs = signatures(src, key, "_text", n, unit=unit)
-    sigs = materialize(sigs.join(src.select(key, "_track"), key) if track else sigs, "signatures")
+    sigs = materialize((sigs.join(src.select(key, "_track"), key) if track else sigs).withColumn("sketch", sketch(n)), "signatures")
     parts = connected_components(verified_edges(sigs, key, n, threshold, more), "head", "member") if parity else exact_groups(src, sigs, key, "_text", threshold, unit=unit, track=more)
     rows = src.select(key, *keep, F.length(F.coalesce("_text", F.lit(""))).alias("_len")).join(parts.select(F.col("node").alias(key), "component"), key, "left")
     rows = rows.select(key, *keep, "_len", F.coalesce("component", key).alias("cluster"))
