@@ -253,12 +253,8 @@ class NearDuplicates:
         are not formed: table entries are linked through their least text, and further only between groups.
         """
 
-        def linked(pairs: DataFrame) -> DataFrame:
-            sketch = self.reps.select("rid", "sketch")
-            both = pairs.join(sketch.select(F.col("rid").alias("a"), F.col("sketch").alias("x")), "a").join(sketch.select(F.col("rid").alias("b"), F.col("sketch").alias("y")), "b")
-            return self.verified(both.where(self.near(F.col("x"), F.col("y"))).select("a", "b"))
-
-        parts = linked_groups(self.tables().select(F.col("key").alias("bucket"), F.col("rid").alias("node")), linked)
+        entries = self.tables().select(F.col("key").alias("bucket"), F.col("rid").alias("node"), "sketch")
+        parts = linked_groups(entries, self.verified, self.near)
         return (
             self.membership()
             .join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")

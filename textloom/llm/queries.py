@@ -171,5 +171,9 @@ def p8_rates(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("n_docs"), hits.alias("n_cut")).withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_docs"), 4))
 
 
+#: What the benchmark times.
+HEADLINE = ("p1_shares", "p2_found", "p3_found", "p4_found", "p5_found", "p5_groups", "p6_packed", "p7_found", "p8_found")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit()}
