@@ -135,7 +135,7 @@ def rule_drops(s, d):
     return passed.groupBy("lane").agg(F.count("*").alias("total"), *[F.count_if(~F.col(k)).alias(f"drop_{k}") for k in rules], F.count_if(keep).alias("kept"))
 
 
-@add("p6_source_type")
+@add("q16_p6_source_type")
 def source_type(s, d):
     return docs(s, d).groupBy("lane").agg(F.count("*").alias("n"), F.count_if(F.col("doc_type").isin("web", "pdf")).alias("passed"))
 

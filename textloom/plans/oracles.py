@@ -150,7 +150,7 @@ SELECT d.doc_id, round(coalesce(h / n, 0), 6) AS share FROM documents d LEFT JOI
 _THREE = "n BETWEEN 20 AND 100000", "m BETWEEN 1.5 AND 20", "y <= 0.1"
 SQL["q16_part_three_rule_drops"] = f"""SELECT lane, count(*) AS total, {', '.join(f'count(*) FILTER (NOT ({r})) AS {k}' for k, r in zip(('drop_words', 'drop_mean', 'drop_symbols'), _THREE, strict=True))}, count(*) FILTER ({' AND '.join(_THREE)}) AS kept
 FROM (SELECT lane, len(w) AS n, {_MEAN} AS m, {_SYMBOLS} AS y FROM (SELECT *, {WORDS} AS w FROM documents)) GROUP BY 1"""
-SQL["p6_source_type"] = "SELECT lane, count(*) AS n, count(*) FILTER (doc_type IN ('web', 'pdf')) AS passed FROM documents GROUP BY 1"
+SQL["q16_p6_source_type"] = "SELECT lane, count(*) AS n, count(*) FILTER (doc_type IN ('web', 'pdf')) AS passed FROM documents GROUP BY 1"
 SQL["c1_c2_p9_code_lines"] = rf"""SELECT doc_id, CAST(len(list_filter(l, lambda x: x <> '' AND NOT regexp_matches(x, '^(#|//|--|/\*|\*|<!--)'))) AS BIGINT) AS code_lines, CAST(len(l) AS BIGINT) AS total_lines, len(list_filter(l, lambda x: x <> '' AND NOT regexp_matches(x, '^(#|//|--|/\*|\*|<!--)'))) >= 3 AS keep
 FROM (SELECT doc_id, list_transform(string_split_regex(regexp_replace(text, '(\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}])$', ''), '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: {sub('x', TRIM, '')}) AS l FROM documents WHERE lane = 'code')"""
 
