@@ -141,8 +141,8 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
         hint = "/*+ BROADCAST(k) */" if keys.count() <= BROADCAST_KEYS else ""
         counted = spark.sql(
             f"""
-            WITH trigrams AS (SELECT reg, last, block, t.x, t.y, t.z, coalesce(t.n, '$') AS n, t.kx, t.ky, t.s
-                              FROM words_{tag} LATERAL VIEW inline(arrays_zip(slice(w, 1, size(w) - 2), slice(w, 2, size(w) - 2), slice(w, 3, size(w) - 2), slice(w, 4, size(w) - 3), slice(k, 1, size(w) - 2), slice(k, 2, size(w) - 2), slice(s, 3, size(w) - 2))) t AS x, y, z, n, kx, ky, s),
+            WITH trigrams AS (SELECT reg, last, block, get(w, i) AS x, get(w, i + 1) AS y, get(w, i + 2) AS z, coalesce(get(w, i + 3), '$') AS n, get(k, i) AS kx, get(k, i + 1) AS ky, get(s, i + 2) AS s
+                              FROM words_{tag} LATERAL VIEW explode(sequence(0, size(w) - 3)) t AS i),
             places AS (SELECT reg, z, s, n IN ({PARTERS}) AS stop, n = '$' AS over, block, {_PLACES} FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
             grams AS (SELECT explode({_KEYS}) AS f, over, stop, block, reg FROM places UNION ALL SELECT explode({_LINE_KEYS}), true, true, block, reg FROM (SELECT block, reg, {_LAST} FROM line_ends_{tag} WHERE reg = 'k' AND NOT last))
             SELECT {hint} f.p, f.w, reg = 'k' AS code, sum(if(stop, 0, 1)) AS on, sum(if(over AND NOT block, 1, 0)) AS line, sum(if(stop AND (block OR NOT over), 1, 0)) AS block
