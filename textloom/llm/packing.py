@@ -125,7 +125,7 @@ def pack_sequences(items: DataFrame, lane: str, item_id: str, size: str, capacit
     Items above the capacity are split, into full sequences of their own and one remainder that is
     packed like any other item; no other item is split. Null lanes are packed together as ``unknown``.
     Null or non-positive sizes take no room and get no row. Repeated ids are separate items. A sequence
-    never mixes lanes. Items are dealt to tasks by a hash of the id, so a hot lane spreads evenly.
+    never mixes lanes. Items stay in the tasks they come in, so a lane of any size is packed by as many tasks as hold it.
     """
     parts = (
         items.select(F.coalesce(F.col(lane).cast("string"), F.lit("unknown")).alias("lane"), F.col(item_id).cast("long").alias("id"), F.col(size).cast("long").alias("n"))
