@@ -67,6 +67,7 @@ def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     """
     if near is None:
         buckets, near = buckets.select("bucket", "node", F.lit(0).alias("sketch")), lambda x, y: F.lit(True)
+    buckets = buckets.repartition("bucket")  # one exchange, read by the aggregate and by the join
     heads = buckets.groupBy("bucket").agg(F.min(F.struct("node", "sketch")).alias("h"), F.count("*").alias("n")).where("n > 1")
     shared = materialize(buckets.join(heads.select("bucket", F.col("h.node").alias("head"), F.col("h.sketch").alias("head_sketch")), "bucket"), "link-buckets")
     tried = shared.where((F.col("node") > F.col("head")) & near(F.col("sketch"), F.col("head_sketch")))
