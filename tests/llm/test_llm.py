@@ -1,5 +1,7 @@
 import math
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -43,6 +45,67 @@ def test_a_crowd_of_like_texts_is_one_group(spark):
     assert {(r.row_id, r.group_id) for r in near.groups().collect()} == {(i, 0) for i in range(60)}
 
 
+def gram_sets(texts):
+    return [{s[i : i + 5] for i in range(len(s) - 4)} for s in ("".join(t.lower().split()) for t in texts)]
+
+
+def test_texts_that_share_sentences_are_parted_before_their_texts_meet(spark, monkeypatch):
+    rng = random.Random(9)
+    pool = [prose(rng, 12) for _ in range(30)]
+    texts = [" ".join(rng.sample(pool, 8)) for _ in range(150)]
+    texts += [t + " " + prose(rng, 5) for t in texts[:20]]
+    sets = gram_sets(texts)
+    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(texts)) for j in range(i + 1, len(texts))}
+    want = {p for p, s in alike.items() if s >= 0.7}
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for name, value in (("LEAST_PAIRS", 1), ("BOUND_PAIRS", 0.1), ("EXACT_PAIRS", 0.1)):  # many parts
+        monkeypatch.setattr(neardup, name, value)
+    near = neardup.NearDuplicates(df, "id", "text")
+    met = [tuple(r) for r in near.candidates().collect()]
+    assert len(met) == len(set(met)) and min(alike[p] for p in met) > 0.5
+    assert {tuple(r) for r in near.found().collect()} == want and len(want) >= 20
+
+
+def test_near_duplicates_drop_shuffle_files_and_broadcast_no_entries(spark):
+    rng = random.Random(10)
+    texts = [prose(rng, 60) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts + [t + " x" for t in texts])), "id long, text string")
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {str(p): p.stat().st_size for d in dirs for p in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    left = lambda: sum(n for p, n in files().items() if p not in before)
+    near = neardup.NearDuplicates(df, "id", "text")
+    assert near.links().count() == 40
+    for _ in range(50):  # they are removed in the background
+        if left() < 10_000:
+            break
+        time.sleep(0.2)
+    assert left() < 10_000  # counts leave a few bytes a task
+    assert "BroadcastExchange" not in near._met(0)._jdf.queryExecution().executedPlan().toString()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abc", min_size=5, max_size=400), st.text("abcd", min_size=5, max_size=900), st.integers(0, 400))
+def test_bitmaps_bound_what_texts_share(x, y, cut):
+    texts = [x, x[:cut] + y, y]
+    sets = gram_sets(texts)
+    bits = [np.frombuffer(b, np.uint64)[None] for b in neardup.fingerprints(texts)["bits"]]
+    for i in range(3):
+        for j in range(3):
+            n = [np.array([len(sets[k])]) for k in (i, j)]
+            assert len(sets[i] & sets[j]) <= neardup.most_shared(bits[i], bits[j], *n)[0] <= min(n)[0]
+
+
+def test_planes_tell_the_distance_of_segments(spark):
+    rng = random.Random(11)
+    base = prose(rng, 50)
+    f = neardup.fingerprints([base, base + " " + prose(rng, 15), prose(rng, 50)])
+    rows = spark.createDataFrame([(i, [*map(int, f["segs"][i])], *map(int, f["planes"][i])) for i in range(3)], "i int, segs array<long>, " + ", ".join(f"p{p} long" for p in range(neardup.PLANES + 1)))
+    both = rows.alias("x").join(rows.alias("y"), F.col("x.i") < F.col("y.i"))
+    got = both.select(neardup._plane_distance().alias("d"), F.col("x.segs").alias("segs_a"), F.col("y.segs").alias("segs_b")).select("d", neardup._distance().alias("e")).collect()
+    assert all(r.d == r.e for r in got) and len({r.d for r in got}) > 1
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"])
 def test_trie_counts_equal_the_tokenizer(name):
     path = f"/opt/tokenizers/{name}"

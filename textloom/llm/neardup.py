@@ -7,6 +7,11 @@ counted in symbols. Each segment has its own table; the ball of radius one withi
 enumerated by masking one symbol at a time, so two texts meet in a table exactly if their segments
 differ in at most one symbol. Matches are verified by the complete distance, then by exact similarity.
 
+Matches that are no pairs grow as the square of a corpus whose texts share sentences, so they are thrown out where they
+meet: the entries carry the whole fingerprint, one segment's table at a time. What is left meets the bitmaps of the texts'
+sequences, which bound the similarity from above without loss, and only pairs within the bound meet their texts. Each
+step runs in as many parts as keep what it moves in proportion to the texts, and drops its shuffle files when done.
+
 With J the similarity, a segment lies within the radius with probability J^7 + 7(1-J)J^6; over ten
 segments a pair at 0.70 is met with probability 0.982, at 0.75 with 0.997, at 0.80 with 0.9998.
 """
@@ -14,6 +19,7 @@ segments a pair at 0.70 is met with probability 0.982, at 0.75 with 0.997, at 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +28,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.kernels import codes_of, gram_hashes, join_texts, mix, spaces
 from textloom.operators.components import linked_groups
-from textloom.storage import materialize
+from textloom.storage import discard, materialize, shuffles_dropped
 
 Q = 5
 SEGMENTS, SYMBOLS, ROUNDS = 10, 7, 5
@@ -32,6 +38,10 @@ SKETCH = 28  # symbols whose low two bits go into the one-word sketch that trave
 SIZE_STEPS = 12
 #: The complete distances allowed are this many standard deviations beyond the expectation at the threshold.
 SIGMAS = 4.0
+#: Symbols whose bits stand in one word a bit (``PLANES`` words); the rest of the symbols follow in one word, a byte each.
+PLANED, PLANES = 64, 8
+#: Pairs a text that meet bitmaps, and texts, at a time; so many pairs at least.
+BOUND_PAIRS, EXACT_PAIRS, LEAST_PAIRS = 2.0, 0.5, 50_000
 #: Ids of paired texts are broadcast up to this number (16 bytes each), joined by shuffle beyond it.
 BROADCAST_IDS = 1_000_000
 
@@ -55,8 +65,28 @@ def _content_keys(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _planes(sym: np.ndarray) -> np.ndarray:
+    """The symbols (n x 70 bytes) by place of their bits: PLANES words for the first PLANED, one word for the rest."""
+    out = np.zeros((len(sym), PLANES + 1), np.uint64)
+    for p in range(PLANES):
+        out[:, p] = np.ascontiguousarray(np.packbits((sym[:, :PLANED] >> np.uint8(p)) & np.uint8(1), axis=1)).view(np.uint64)[:, 0]
+    for j in range(PLANED, sym.shape[1]):
+        out[:, PLANES] |= sym[:, j].astype(np.uint64) << np.uint64(8 * (j - PLANED))
+    return out
+
+
+def _bitmaps(grams: np.ndarray, owner: np.ndarray, distinct: np.ndarray) -> list[bytes]:
+    """For each text the places that its sequences' hashes have in a bitmap of two to four bits a sequence."""
+    width = np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(1, 2 * distinct)))).astype(np.int64)
+    ends = np.cumsum(width)
+    flags = np.zeros(int(ends[-1]) if len(ends) else 0, bool)
+    flags[(ends - width)[owner] + (grams & (width - 1).astype(np.uint64)[owner]).astype(np.int64)] = True
+    packed = np.packbits(flags).tobytes()
+    return [packed[(e - w) // 8 : e // 8] for e, w in zip(ends.tolist(), width.tolist(), strict=True)]
+
+
 def fingerprints(texts: list[str | None]) -> dict[str, np.ndarray]:
-    """h1, h2 (content), n (characters kept), segs (n x SEGMENTS words of SYMBOLS bytes), sketch."""
+    """h1, h2 (content), n (characters kept), segs (n x SEGMENTS words of SYMBOLS bytes), planes, sketch, distinct (sequences), bits."""
     codes = _stripped(texts)
     n = len(texts)
     h1, h2 = _content_keys(codes, n)
@@ -96,7 +126,10 @@ def fingerprints(texts: list[str | None]) -> dict[str, np.ndarray]:
     distinct = np.array([len(np.unique(g)) for g in np.split(grams, np.searchsorted(owner, np.arange(1, n)))])
     size = np.minimum(255, np.floor(np.log2(np.maximum(distinct, 1)) * SIZE_STEPS)).astype(np.uint64)
     sketch |= size << np.uint64(56)
-    return {"h1": h1, "h2": h2, "n": count.astype(np.int64), "segs": segs.view(np.int64), "sketch": sketch.view(np.int64)}
+    return {
+        "h1": h1, "h2": h2, "n": count.astype(np.int64), "segs": segs.view(np.int64), "planes": _planes(sym).view(np.int64), "sketch": sketch.view(np.int64),
+        "distinct": distinct.astype(np.int64), "bits": _bitmaps(grams, owner, distinct),
+    }
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +137,10 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
             f = fingerprints(part.column("txt").to_pylist())
-            segs = pa.ListArray.from_arrays(np.arange(0, f["segs"].size + 1, SEGMENTS, dtype=np.int32), pa.array(f["segs"].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([part.column("rid").cast(pa.int64()), *(pa.array(f[c]) for c in ("h1", "h2", "n", "sketch")), segs], names=["rid", "h1", "h2", "n", "sketch", "segs"])
+            lists = [pa.ListArray.from_arrays(np.arange(0, f[c].size + 1, f[c].shape[1], dtype=np.int32), pa.array(f[c].reshape(-1))) for c in ("segs", "planes")]
+            flat = ["h1", "h2", "n", "sketch", "distinct"]
+            columns = [part.column("rid").cast(pa.int64()), *(pa.array(f[c]) for c in flat), *lists, pa.array(f["bits"], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rid", *flat, "segs", "planes", "bits"])
 
 
 def _distinct_grams(texts: list[str]) -> list[np.ndarray]:
@@ -133,6 +168,42 @@ def _exact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sim)], names=["a", "b", "similarity"])
 
 
+def most_shared(bits_a: np.ndarray, bits_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """How many sequences two texts can share at most: each place that only one of them fills holds one that the other lacks.
+
+    ``bits_a`` and ``bits_b`` hold a bitmap a row (words); the wider ones are folded to the width of the others.
+    """
+    while bits_a.shape[1] != bits_b.shape[1]:
+        if bits_a.shape[1] > bits_b.shape[1]:
+            half = bits_a.shape[1] // 2
+            bits_a = bits_a[:, :half] | bits_a[:, half:]
+        else:
+            half = bits_b.shape[1] // 2
+            bits_b = bits_b[:, :half] | bits_b[:, half:]
+    only_a = np.bitwise_count(bits_a & ~bits_b).sum(1, dtype=np.int64)
+    only_b = np.bitwise_count(bits_b & ~bits_a).sum(1, dtype=np.int64)
+    return np.minimum(n_a - only_a, n_b - only_b)
+
+
+def _bound_batches(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bits = [batch.column(c).to_pylist() for c in ("bits_a", "bits_b")]
+            n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            width = [np.array([len(x) for x in b]) for b in bits]
+            kept = np.zeros(batch.num_rows, bool)
+            for wa, wb in {*zip(width[0].tolist(), width[1].tolist(), strict=True)}:
+                rows = np.flatnonzero((width[0] == wa) & (width[1] == wb))
+                words = [np.frombuffer(b"".join([b[i] for i in rows]), np.uint64).reshape(len(rows), -1) for b in bits]
+                shared = most_shared(*words, n[0][rows], n[1][rows])
+                kept[rows] = shared / np.maximum(1, n[0][rows] + n[1][rows] - shared) >= threshold
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(kept)) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
 def _mismatches(x, y):
     """Symbols (of two bits each) in which two sketches differ."""
     d = x.bitwiseXOR(y)
@@ -141,7 +212,11 @@ def _mismatches(x, y):
 
 def _like_sizes(x, y, threshold: float):
     """Whether two sketches may belong to texts of that similarity by their numbers of sequences."""
-    return F.abs(F.shiftrightunsigned(x, 56) - F.shiftrightunsigned(y, 56)) <= int(SIZE_STEPS * np.log2(1 / threshold) + 1)
+    return F.abs(F.shiftrightunsigned(x, 56) - F.shiftrightunsigned(y, 56)) <= _size_steps(threshold)
+
+
+def _size_steps(threshold: float) -> int:
+    return int(SIZE_STEPS * np.log2(1 / threshold) + 1)
 
 
 def _distance():
@@ -156,6 +231,17 @@ def _distance():
     return F.aggregate(F.zip_with("segs_a", "segs_b", one), F.lit(0), lambda s, d: s + d)
 
 
+def _plane_distance():
+    """The same distance from the planes of the two entries ``x`` and ``y``."""
+    planed = F.lit(0).cast("long")
+    for p in range(PLANES):
+        planed = planed.bitwiseOR(F.col(f"x.p{p}").bitwiseXOR(F.col(f"y.p{p}")))
+    rest = F.col(f"x.p{PLANES}").bitwiseXOR(F.col(f"y.p{PLANES}"))
+    for s in (4, 2, 1):
+        rest = rest.bitwiseOR(F.shiftrightunsigned(rest, s))
+    return F.bit_count(planed) + F.bit_count(rest.bitwiseAND(F.lit(0x01010101010101)))
+
+
 def _slack(trials: int, p: float) -> int:
     """Misses allowed among ``trials`` when each happens with probability ``p``."""
     return int(trials * p + SIGMAS * (trials * p * (1 - p)) ** 0.5 + 1)
@@ -174,37 +260,78 @@ class NearDuplicates:
     def __init__(self, df: DataFrame, id_col: str, text_col: str, threshold: float = 0.7):
         self.threshold = threshold
         self.source = df.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("txt"))
-        self.prints = materialize(
-            self.source.mapInArrow(_fingerprint_batches, "rid long, h1 long, h2 long, n long, sketch long, segs array<long>").where("n > 0"), "p5-prints"
+        prints = self._written(
+            self.source.mapInArrow(_fingerprint_batches, "rid long, h1 long, h2 long, n long, sketch long, distinct long, segs array<long>, planes array<long>, bits binary").where("n > 0"),
+            "p5-prints",
         )
-        self.classes = materialize(self.prints.groupBy("h1", "h2").agg(F.min("rid").alias("rep"), F.count("*").alias("copies")), "p5-classes")
-        self.reps = self.prints.join(self.classes.select(F.col("rep").alias("rid")), "rid", "left_semi").select("rid", "sketch", "segs")
+        classes = self._written(prints.groupBy("h1", "h2").agg(F.min("rid").alias("rep"), F.count("*").alias("copies")), "p5-classes")
+        self.members = self._written(prints.select("rid", "h1", "h2").join(classes, ["h1", "h2"]).select("rid", "rep", "copies"), "p5-members")
+        heads = classes.select(F.col("rep").alias("rid"))
+        self.reps = self._written(prints.join(heads, "rid", "left_semi").select("rid", "sketch", "distinct", "segs", "planes", "bits"), "p5-reps")
+        self.n_reps = self.reps.count()
+        discard(prints)
+        discard(classes)
+
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        with shuffles_dropped(df.sparkSession):
+            return materialize(df, name)
 
     def membership(self) -> DataFrame:
         """(rid, rep, copies): the class of every text that holds a five-character sequence."""
-        return self.prints.select("rid", "h1", "h2").join(self.classes, ["h1", "h2"]).select("rid", "rep", "copies")
+        return self.members
 
-    def tables(self) -> DataFrame:
-        """(key, rid, sketch): the entries of every different text, one for each segment and masked symbol."""
-        masks = [(i, ~(0xFF << 8 * i) & 0xFFFFFFFFFFFFFF) for i in range(SYMBOLS)]
+    def _entries(self, rows: DataFrame) -> DataFrame:
+        """(key, masked, further columns) of rows with a segment's number ``s`` and symbols ``v``: an entry for each masked symbol."""
 
-        def entry(i: int, mask: int):
+        def entry(i: int):
+            mask = ~(0xFF << 8 * i) & 0xFFFFFFFFFFFFFF
             left = F.col("v").bitwiseAND(F.lit(mask & ((1 << 8 * i) - 1)))
             right = F.shiftrightunsigned(F.col("v").bitwiseAND(F.lit(mask >> 8 * (i + 1) << 8 * (i + 1))), 8)
-            return left.bitwiseOR(right).bitwiseOR(F.shiftleft((F.col("s") * SYMBOLS + i).cast("long"), 48))
+            key = left.bitwiseOR(right).bitwiseOR(F.shiftleft((F.col("s") * SYMBOLS + i).cast("long"), 48))
+            return F.struct(key.alias("key"), F.shiftrightunsigned("v", 8 * i).bitwiseAND(F.lit(0xFF)).alias("masked"))
 
-        return self.reps.select("rid", "sketch", F.posexplode("segs").alias("s", "v")).select(F.explode(F.array(*[entry(i, m) for i, m in masks])).alias("key"), "rid", "sketch")
+        rest = [c for c in rows.columns if c not in ("s", "v")]
+        return rows.select(F.explode(F.array(*map(entry, range(SYMBOLS)))).alias("e"), *rest).select("e.key", "e.masked", *rest)
+
+    def tables(self) -> DataFrame:
+        """(key, rid, sketch): the entries of every different text, one for each segment and masked symbol."""
+        return self._entries(self.reps.select("rid", "sketch", F.posexplode("segs").alias("s", "v"))).drop("masked")
 
     def near(self, x, y):
         """Whether two sketches allow for the similarity."""
         return _like_sizes(x, y, self.threshold) & (_mismatches(x, y) <= _slack(SKETCH, 0.75 * (1 - self.threshold)))
 
+    def _met(self, segment: int) -> DataFrame:
+        """(a, b), a < b: different texts that share an entry of the segment's table and are within the complete distance, each pair once."""
+        planes = [F.col("planes")[p].alias(f"p{p}") for p in range(PLANES + 1)]
+        size = F.shiftrightunsigned("sketch", 56).alias("size")
+        entries = self._entries(self.reps.select("rid", size, *planes, F.lit(segment).alias("s"), F.col("segs")[segment].alias("v")))
+        x, y = entries.alias("x"), entries.alias("y")
+        both = (F.col("x.key") == F.col("y.key")) & (F.col("x.rid") < F.col("y.rid"))
+        both &= F.abs(F.col("x.size") - F.col("y.size")) <= _size_steps(self.threshold)
+        both &= _plane_distance() <= _slack(SEGMENTS * SYMBOLS, 1 - self.threshold)
+        # equal segments meet under every mask; the first is enough
+        both &= (F.col("x.masked") != F.col("y.masked")) | (F.shiftrightunsigned(F.col("x.key"), 48) % SYMBOLS == 0)
+        # entries are far more than the sizes that Spark expects of an exploded table: never broadcast
+        return x.join(y.hint("merge"), both).select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b"))
+
     def candidates(self) -> DataFrame:
-        """(a, b), a < b: different texts that share a table entry and whose sketches allow for the similarity."""
-        keys = self.tables()
-        a, b = keys.alias("a"), keys.alias("b")
-        met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rid") < F.col("b.rid")) & self.near(F.col("a.sketch"), F.col("b.sketch")))
-        return met.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+        """(a, b), a < b: different texts that share a table entry and are within the complete distance and the bound, each pair once.
+
+        One table is exchanged at a time; what met is bounded as soon as there are ``BOUND_PAIRS`` a text.
+        """
+        met, n, parts = [], 0, []
+        for segment in range(SEGMENTS):
+            met.append(self._written(self._met(segment), "p5-met"))
+            n += met[-1].count()
+            if segment == SEGMENTS - 1 or n >= max(LEAST_PAIRS, BOUND_PAIRS * self.n_reps):
+                once = self._written(reduce(DataFrame.union, met).distinct(), "p5-once")
+                for df in met:
+                    discard(df)
+                parts.append(self._parted(once, BOUND_PAIRS, self._bounded, "p5-bounded"))
+                discard(once)
+                met, n = [], 0
+        return self._written(reduce(DataFrame.union, parts).distinct(), "p5-candidates")
 
     def within(self, met: DataFrame) -> DataFrame:
         """Of pairs (a, b) those within the complete distance."""
@@ -216,26 +343,49 @@ class NearDuplicates:
             .select("a", "b")
         )
 
-    def verified(self, met: DataFrame) -> DataFrame:
-        """(a, b, similarity): of pairs of different texts those at or above the threshold, by the complete distance, then exactly."""
-        pairs = materialize(self.within(met), "p5-pairs")
+    def _parted(self, pairs: DataFrame, share: float, step, name: str) -> DataFrame:
+        """``step`` over written pairs, in parts of ``share`` pairs a text (cut by the hash of the first), written one after the other."""
+        parts = max(1, int(-(-pairs.count() // max(LEAST_PAIRS, share * self.n_reps))))
+
+        def part(df: DataFrame, c: str, k: int) -> DataFrame:
+            return df if parts == 1 else df.where(F.pmod(F.xxhash64(c), F.lit(parts)) == k)
+
+        return reduce(DataFrame.union, [self._written(step(part(pairs, "a", k), lambda df, k=k: part(df, "rid", k)), name) for k in range(parts)])
+
+    def _bounded(self, pairs: DataFrame, mine) -> DataFrame:
+        """Of pairs (a, b) those whose bitmaps allow for the similarity: loses none. ``mine`` cuts texts to those that can be an ``a``."""
+        bits = self.reps.select("rid", "distinct", "bits")
+        full = pairs.join(mine(bits).select(F.col("rid").alias("a"), F.col("distinct").alias("n_a"), F.col("bits").alias("bits_a")), "a").join(
+            bits.select(F.col("rid").alias("b"), F.col("distinct").alias("n_b"), F.col("bits").alias("bits_b")), "b"
+        )
+        return full.mapInArrow(_bound_batches(self.threshold), "a long, b long")
+
+    def _exact(self, pairs: DataFrame, mine) -> DataFrame:
+        """(a, b, similarity) of those pairs (a, b) at or above the threshold."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
         if 2 * pairs.count() <= BROADCAST_IDS:  # keeps texts that no pair needs out of the shuffle
             wanted = F.broadcast(wanted)
         texts = self.source.join(wanted, "rid", "left_semi")
-        full = pairs.join(texts.select(F.col("rid").alias("a"), F.col("txt").alias("text_a")), "a").join(
+        full = pairs.join(mine(texts).select(F.col("rid").alias("a"), F.col("txt").alias("text_a")), "a").join(
             texts.select(F.col("rid").alias("b"), F.col("txt").alias("text_b")), "b"
         )
         checked = full.mapInArrow(_exact_batches, "a long, b long, similarity double")
         return checked.where(F.col("similarity") >= self.threshold)
 
+    def verified(self, met: DataFrame) -> DataFrame:
+        """(a, b, similarity): of pairs of different texts those at or above the threshold, by the complete distance, by bitmaps, then exactly."""
+        pairs = self._written(self.within(met), "p5-within")
+        bounded = self._parted(pairs, BOUND_PAIRS, self._bounded, "p5-bounded")
+        discard(pairs)
+        return self._parted(bounded, EXACT_PAIRS, self._exact, "p5-links")
+
     def links(self) -> DataFrame:
         """(a, b, similarity): all met pairs of different texts at or above the threshold, verified exactly."""
-        return self.verified(self.candidates())
+        return self._parted(self.candidates(), EXACT_PAIRS, self._exact, "p5-links")
 
     def found(self) -> DataFrame:
         """(row_id_a, row_id_b): every pair of rows, copies expanded; the form TESTDATA.md fixes."""
-        links = materialize(self.links(), "p5-links")
+        links = self.links()
         members = self.membership()
         crowd = members.where("copies > 1").select("rid", "rep")
         same = crowd.alias("x").join(crowd.alias("y"), (F.col("x.rep") == F.col("y.rep")) & (F.col("x.rid") < F.col("y.rid")))
@@ -254,7 +404,8 @@ class NearDuplicates:
         """
 
         entries = self.tables().select(F.col("key").alias("bucket"), F.col("rid").alias("node"), "sketch")
-        parts = linked_groups(entries, self.verified, self.near)
+        with shuffles_dropped(self.source.sparkSession):
+            parts = linked_groups(entries, self.verified, self.near)
         return (
             self.membership()
             .join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")

@@ -50,6 +50,25 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return back
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside drop their shuffle files as soon as they are written.
+
+    Without it the files stay until the driver happens to collect its garbage, so that the steps of a job add up on the
+    disks. Nothing reads them any more once a table is written: each write is a plan of its own.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)  # noqa: SLF001
