@@ -40,8 +40,8 @@ SIZE_STEPS = 12
 SIGMAS = 4.0
 #: Symbols whose bits stand in one word a bit (``PLANES`` words); the rest of the symbols follow in one word, a byte each.
 PLANED, PLANES = 64, 8
-#: Pairs a text that meet bitmaps, and texts, at a time; so many pairs at least.
-BOUND_PAIRS, EXACT_PAIRS, LEAST_PAIRS = 2.0, 0.5, 50_000
+#: Pairs a text that meet segments, bitmaps, and texts, at a time; so many pairs at least.
+WITHIN_PAIRS, BOUND_PAIRS, EXACT_PAIRS, LEAST_PAIRS = 4.0, 2.0, 0.5, 50_000
 #: Ids of paired texts are broadcast up to this number (16 bytes each), joined by shuffle beyond it.
 BROADCAST_IDS = 1_000_000
 
@@ -333,11 +333,11 @@ class NearDuplicates:
                 met, n = [], 0
         return self._written(reduce(DataFrame.union, parts).distinct(), "p5-candidates")
 
-    def within(self, met: DataFrame) -> DataFrame:
+    def _within(self, pairs: DataFrame, mine) -> DataFrame:
         """Of pairs (a, b) those within the complete distance."""
         segs = self.reps.select("rid", "segs")
         return (
-            met.join(segs.select(F.col("rid").alias("a"), F.col("segs").alias("segs_a")), "a")
+            pairs.join(mine(segs).select(F.col("rid").alias("a"), F.col("segs").alias("segs_a")), "a")
             .join(segs.select(F.col("rid").alias("b"), F.col("segs").alias("segs_b")), "b")
             .where(_distance() <= _slack(SEGMENTS * SYMBOLS, 1 - self.threshold))
             .select("a", "b")
@@ -374,9 +374,10 @@ class NearDuplicates:
 
     def verified(self, met: DataFrame) -> DataFrame:
         """(a, b, similarity): of pairs of different texts those at or above the threshold, by the complete distance, by bitmaps, then exactly."""
-        pairs = self._written(self.within(met), "p5-within")
-        bounded = self._parted(pairs, BOUND_PAIRS, self._bounded, "p5-bounded")
+        pairs = self._written(met, "p5-met")
+        within = self._parted(pairs, WITHIN_PAIRS, self._within, "p5-within")
         discard(pairs)
+        bounded = self._parted(within, BOUND_PAIRS, self._bounded, "p5-bounded")
         return self._parted(bounded, EXACT_PAIRS, self._exact, "p5-links")
 
     def links(self) -> DataFrame:
