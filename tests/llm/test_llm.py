@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from textloom.llm import kernels, leaks, mixing, neardup, packing, pii, quality, tokens, truncation
+from textloom.storage import materialize
 
 
 def prose(rng, n):
@@ -219,6 +220,27 @@ def test_prose_cut_in_its_only_sentence(spark):
     assert got[200] and not got[201] and not got[202] and not any(got[i] for i in range(100))
 
 
+def test_cut_texts_are_looked_for_in_compiled_code(spark, monkeypatch):
+    plans = {}
+
+    def written(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialize(df, name, *rest)
+
+    monkeypatch.setattr(truncation, "materialize", written)
+    rows = [(i, f"The board met in town {i}. It was calm\tand 5 < 7; the road is open.", ("web", "code")[i % 2]) for i in range(20)]
+    assert truncation.cut_texts(spark.createDataFrame(rows, "id long, t string, lane string"), "id", "t", "lane").count() == 20
+    assert {"p8-lines", "p8-last", "p8-counts"} <= set(plans)
+    assert not [name for name in ("p8-lines", "p8-last", "p8-counts") if "lambda" in plans[name]]  # functions over arrays are interpreted, word by word
+
+
+def test_kinds_of_words(spark):
+    signs = [*truncation.LAST_SIGNS, "a", "Z", "क", "५", "", "|"]
+    words = [w + c for w in ("", "Word", "word", "कख") for c in signs]
+    got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", f"{truncation._kind('w', 'right(w, 1)')} AS k").collect()
+    assert {r.w: r.k for r in got} == {w: truncation.LAST_SIGNS.get(w[-1:], "W" if "A" <= w[:1] <= "Z" else "w") for w in words}
+
+
 def test_near_duplicate_limits_lose_few_pairs():
     for trials, p in ((neardup.SKETCH, 0.75 * 0.3), (neardup.SEGMENTS * neardup.SYMBOLS, 0.3)):
         lost = 1 - sum(math.comb(trials, i) * p**i * (1 - p) ** (trials - i) for i in range(neardup._slack(trials, p) + 1))

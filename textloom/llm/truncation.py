@@ -32,6 +32,8 @@ BROADCAST_KEYS = 1_000_000
 OMISSION = r"(\s*(\[\s*(\.\.\.|…)\s*\]|…|\.\.\.+|\(more\)?|\(contd\.?\)?|\x{fffd}))+\s*$"
 # Runs of ASCII digits and of the Indic scripts' digits.
 DIGITS = "[0-9०-९০-৯੦-੯૦-૯୦-୯௦-௯౦-౯೦-೯൦-൯]+"
+# The same, asked only of signs between the first and the last of them.
+DIGITS_FIRST = f"[0-9०-൯&&{DIGITS[:-1]}]+"
 # Signs that may follow a stop, and signs that numbers are written with.
 CLOSERS, FIGURES = "\")”'", "#.,%()-:/+"
 # Words that part the items or cells of a line.
@@ -40,6 +42,8 @@ PARTERS = "'/', '|', ';', '•', '$'"
 ITEM = r"^\s*([-*•▪–·>]|[(]?(#|[a-zA-Z]{1,4})[.)])\s"
 CELLS, COMMAS = r"((\s[/|•:]\s|;|\||\S=\S).*){2}", r",\S.*,\S"
 CELL_SIGNS = (";", "|", " / ", "=", " : ", "•")
+# All signs that cleaning and kinds of lines but for commas look for: most texts hold none and are searched once.
+SIGNS = r"[<&\r\t\x{a0};|/=:•]"
 LABEL = r"^(\S+\s+){0,4}\S*:(\s|$)"
 
 
@@ -51,7 +55,12 @@ def _quoted(sign: str) -> str:
     return "'" + sign.replace("'", "\\'") + "'"
 
 
-_KIND = "coalesce(element_at(map(" + ", ".join(f"{_quoted(c)}, '{k}'" for c, k in LAST_SIGNS.items()) + "), right(z, 1)), if(z >= 'A' AND z < '[', 'W', 'w'))"
+def _kind(word: str, last: str) -> str:
+    """The kind of a word that ends in the sign ``last``; most words end in none of the signs, which is asked first."""
+    signs, kinds = _quoted("".join(LAST_SIGNS)), _quoted("".join(LAST_SIGNS.values()))
+    return f"if({last} IN ({', '.join(map(_quoted, LAST_SIGNS))}), substring({kinds}, instr({signs}, {last}), 1), if({word} >= 'A' AND {word} < '[', 'W', 'w'))"
+
+
 _STOPPED = f"right(rtrim({_quoted(CLOSERS)}, z), 1) IN ('.', '।', '॥', '?', '!', '…')"
 
 
@@ -65,17 +74,34 @@ def _structs(keys: list[tuple[str, str]]) -> str:
     return "array(" + ", ".join(f"named_struct('p', {p}, 'w', {w})" for p, w in keys) + ")"
 
 
+def _hashes(keys: list[tuple[str, str]]) -> str:
+    return "array(" + ", ".join(p for p, _ in keys) + ")"
+
+
+def _with_kinds(rows: str) -> str:
+    """Trigrams x y z (``shape``: the shape of z in code) with the kinds kx, ky and s, the shape of z in code, else its kind.
+
+    Kinds are compiled expressions of a word each: a function over a line's array of words would be interpreted.
+    """
+    tails = f"SELECT *, right(x, 1) AS lx, right(y, 1) AS ly, right(z, 1) AS lz FROM ({rows})"
+    return f"SELECT *, {_kind('x', 'lx')} AS kx, {_kind('y', 'ly')} AS ky, if(reg = 'k', shape, {_kind('z', 'lz')}) AS s, xxhash64(y, reg) AS hy FROM ({tails})"
+
+
 #: Hashes of the places a third word may stand in: under the first word or its kind, at the second word or its kind; for
 #: code also at places for shapes. With the third word's first sign (c) or its shape or kind (s) they make the keys.
-_PLACES = "xxhash64(1, x, y, reg) AS h1, xxhash64(2, kx, y, reg) AS h2, xxhash64(3, kx, y, reg, if(reg = 'k', left(s, 1), s)) AS h3, xxhash64(4, kx, ky, reg) AS h4, if(reg = 'k', xxhash64(5, kx, ky, left(s, 1)), 0) AS h5, shiftleft(cast(ascii(z) AS bigint), 40) AS c"
+_PLACES = "xxhash64(1, x, hy) AS h1, xxhash64(2, kx, hy) AS h2, xxhash64(3, kx, hy, if(reg = 'k', left(s, 1), s)) AS h3, xxhash64(4, kx, ky, reg) AS h4, if(reg = 'k', xxhash64(5, kx, ky, left(s, 1)), 0) AS h5, shiftleft(cast(ascii(z) AS bigint), 40) AS c"
 _PROSE = [("h1 ^ c", "z"), ("h2 ^ c", "z"), ("h3", "''"), ("h4 ^ c", "z")]
 _CODE = [("h1 ^ c", "z"), ("h2 ^ c", "z"), ("h3", "s"), ("h4 ^ c", "z"), ("h5", "s")]
 #: Keys of a trigram x y z (kinds kx, ky; s: the shape of z in code, else its kind) in the order they are asked.
 _KEYS = f"if(reg = 'k', {_structs(_CODE)}, {_structs(_PROSE)})"
+#: The same in two parts for the scan of all trigrams: hashes, and the word that goes with the hash at ``at``.
+_KEY_HASHES = f"if(reg = 'k', {_hashes(_CODE)}, {_hashes(_PROSE)})"
+_KEY_WORD = "CASE WHEN at = 2 THEN if(reg = 'k', s, '') WHEN at = 4 THEN s ELSE z END"
 #: Keys of the end of a finished line of code, asked in this order.
-_LINE_KEYS = _structs([("xxhash64(6, x, y, z)", "''"), ("xxhash64(7, kx, y, z)", "''"), ("xxhash64(8, kx, ky, z)", "''"), ("xxhash64(9, right(s, 1))", "''")])
+_LINE = [("xxhash64(6, x, y, z)", "''"), ("xxhash64(7, kx, y, z)", "''"), ("xxhash64(8, kx, ky, z)", "''"), ("xxhash64(9, right(s, 1))", "''")]
+_LINE_KEYS = _structs(_LINE)
 #: The last trigram of a line.
-_LAST = "element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z, element_at(k, -3) AS kx, element_at(k, -2) AS ky, element_at(s, -1) AS s"
+_LAST = "element_at(w, -3) AS x, element_at(w, -2) AS y, element_at(w, -1) AS z"
 
 
 def _bound(side: str, z: float) -> str:
@@ -102,55 +128,61 @@ def last_trigrams(df: DataFrame, id_col: str, text_col: str, lane_col: str | Non
 
     try:
         view("src", df.selectExpr(f"cast({id_col} AS bigint) AS id", f"{text_col} AS txt", (f"coalesce({lane_col} = 'code', false)" if lane_col else "false") + " AS code"))
-        signs = " OR ".join(f"contains(l, '{c}')" for c in CELL_SIGNS)
-        # a tag or reference left open at the end is taken off: what stands before it is judged
+        held = " OR ".join(f"contains(l, '{c}')" for c in CELL_SIGNS)
+        # a tag or reference left open at the end is taken off: what stands before it is judged. Few texts hold any of the signs
         lines = spark.sql(
             rf"""
-            WITH open AS (SELECT id, code, code AND endswith(rtrim(' \r\t', txt), '\n') AS lined, txt, rtrim(' \n\r\t', txt) AS trimmed, substring_index(txt, '<', -1) AS tag, substring_index(txt, '&', -1) AS reference FROM src_{tag} WHERE txt IS NOT NULL),
-            shut AS (SELECT id, code, lined, CASE WHEN code THEN trimmed
-                         WHEN instr(tag, '>') = 0 AND tag RLIKE '^[a-zA-Z/]' AND contains(txt, '<') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(tag) - 1))
-                         WHEN reference RLIKE '^#?[a-zA-Z0-9]*$' AND contains(txt, '&') THEN rtrim(' \n\r\t', left(txt, length(txt) - length(reference) - 1))
+            WITH open AS (SELECT id, code, code AND endswith(rtrim(' \r\t', txt), '\n') AS lined, signs, txt, if(endswith(txt, ' ') OR endswith(txt, '\n') OR endswith(txt, '\r') OR endswith(txt, '\t'), rtrim(' \n\r\t', txt), txt) AS trimmed,
+                         if(signs AND contains(txt, '<'), substring_index(txt, '<', -1), null) AS tag, if(signs AND contains(txt, '&'), substring_index(txt, '&', -1), null) AS reference
+                     FROM (SELECT *, txt RLIKE r'{SIGNS}' AS signs FROM src_{tag} WHERE txt IS NOT NULL)),
+            shut AS (SELECT id, code, lined, signs, CASE WHEN code THEN trimmed
+                         WHEN instr(tag, '>') = 0 AND tag RLIKE '^[a-zA-Z/]' THEN rtrim(' \n\r\t', left(txt, length(txt) - length(tag) - 1))
+                         WHEN reference RLIKE '^#?[a-zA-Z0-9]*$' THEN rtrim(' \n\r\t', left(txt, length(txt) - length(reference) - 1))
                          WHEN substring_index(trimmed, ' ', -1) RLIKE r'{MARKED}' THEN rtrim(' \n\r\t', regexp_replace(trimmed, r'{OMISSION}', '')) ELSE trimmed END AS txt FROM open),
-            parts AS (SELECT id, code, lined, xxhash64(txt) AS content, split(replace(regexp_replace(replace(replace(txt, '\r', ''), chr(160), ' '), '{DIGITS}', '#'), '\t', ' | '), '\n') AS ls FROM shut WHERE txt <> ''),
-            lines AS (SELECT id, code, lined, content, t.l, t.before, trim(t.after) = '' AS block, t.after IS NULL AS last
+            plain AS (SELECT id, code, lined, signs, xxhash64(txt) AS content, regexp_replace(if(signs AND (contains(txt, '\r') OR contains(txt, chr(160))), replace(replace(txt, '\r', ''), chr(160), ' '), txt), '{DIGITS_FIRST}', '#') AS txt FROM shut WHERE txt <> ''),
+            parts AS (SELECT id, code, lined, signs, content, split(if(signs AND contains(txt, '\t'), replace(txt, '\t', ' | '), txt), '\n') AS ls FROM plain),
+            lines AS (SELECT id, code, lined, signs, content, t.l, t.before, trim(t.after) = '' AS block, t.after IS NULL AS last
                       FROM parts LATERAL VIEW inline(arrays_zip(ls, concat(array('^'), slice(ls, 1, size(ls) - 1)), concat(slice(ls, 2, size(ls) - 1), array(cast(null AS string))))) t AS l, before, after)
             SELECT id, content, lined, last, coalesce(block, true) AS block, l, if(code, coalesce(element_at(split(trim(before), ' '), -1), '^'), '^') AS before,
-                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN ({signs}) AND l RLIKE r'{CELLS}' OR contains(l, ',') AND l RLIKE r'{COMMAS}' THEN 'c' WHEN contains(l, ':') AND l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg
+                   CASE WHEN code THEN 'k' WHEN l RLIKE r'{ITEM}' THEN 'i' WHEN signs AND ({held}) AND l RLIKE r'{CELLS}' OR contains(l, ',') AND l RLIKE r'{COMMAS}' THEN 'c' WHEN signs AND contains(l, ':') AND l RLIKE r'{LABEL}' THEN 'h' ELSE 'p' END AS reg
             FROM lines WHERE trim(l) <> ''"""
         )
         view("lines", materialize(lines, "p8-lines"))  # cleaned lines: smaller than their words, which are cheap to part
-        # words with two before a line's first, their kinds, and in code their shapes
-        words = spark.sql(f"SELECT *, concat(array(before, if(reg = 'k', '⏎', '^')), array_remove(split(l, ' '), '')) AS w, if(reg = 'k', concat(array('', ''), array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), '')), null) AS shapes FROM lines_{tag}")
-        kinds = f"transform(w, z -> {_KIND}) AS k"
-        view("words", words.selectExpr("last", "block", "reg", "w", kinds, "shapes").selectExpr("*", "coalesce(shapes, k) AS s"))
-        ends = words.selectExpr("id", "content", "lined", "last", "block", "reg", "slice(w, -3, 3) AS w", "slice(shapes, -3, 3) AS shapes")
-        view("line_ends", ends.selectExpr("*", kinds).selectExpr("*", "coalesce(shapes, k) AS s"))
+        # words with two before a line's first, and in code their shapes
+        words = spark.sql(f"SELECT *, concat(array(before, if(reg = 'k', '⏎', '^')), array_remove(split(l, ' '), '')) AS w FROM lines_{tag}")
+        view("words", words)
+        view("shaped", words.selectExpr("*", f"if(reg = 'k', concat(array('', ''), array_remove(split(regexp_replace(l, r'{LETTERS}', 'a'), ' '), '')), null) AS shapes"))
+        ends = f"SELECT *, if(reg = 'k', regexp_replace(z, r'{LETTERS}', 'a'), null) AS shape FROM (SELECT id, content, lined, last, block, reg, {_LAST} FROM words_{tag})"
         last = spark.sql(
             f"""
-            SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, if(lined, {_LINE_KEYS}, {_KEYS}) AS forms
-            FROM (SELECT *, {_PLACES} FROM (SELECT id, content, reg, lined, {_LAST} FROM line_ends_{tag} WHERE last))"""
+            SELECT id, content, {_STOPPED} AND reg <> 'k' AS stopped, lined, reg = 'k' AS code, if(lined, {_LINE_KEYS}, {_KEYS}) AS forms
+            FROM (SELECT *, {_PLACES} FROM ({_with_kinds(f"{ends} WHERE last")}))"""
         )
         view("last", materialize(last, "p8-last"))
         # the forms to be looked up, with the number of different contents that end so; words of prose may carry marks, code is met letter by letter
         wanted = spark.sql(
-            f"SELECT f.p, f.w AS z, count(DISTINCT content) AS texts, max(lined) AS lined FROM (SELECT content, lined, explode(forms) AS f FROM last_{tag} WHERE NOT stopped) GROUP BY f.p, f.w"
+            f"SELECT f.p, f.w AS z, count(DISTINCT content) AS texts, max(lined) AS lined, max(code) AS code FROM (SELECT content, lined, code, explode(forms) AS f FROM last_{tag} WHERE NOT stopped) GROUP BY f.p, f.w"
         )
         view("wanted", materialize(wanted, "p8-wanted"))
         keys = materialize(spark.sql(f"SELECT DISTINCT p FROM wanted_{tag}"), "p8-keys")
         view("keys", keys)
         hint = "/*+ BROADCAST(k) */" if keys.count() <= BROADCAST_KEYS else ""
+        trigrams = f"""SELECT reg, last, block, get(w, i) AS x, get(w, i + 1) AS y, get(w, i + 2) AS z, coalesce(get(w, i + 3), '$') AS n, get(shapes, i + 2) AS shape
+                       FROM shaped_{tag} LATERAL VIEW explode(sequence(0, size(w) - 3)) t AS i"""
+        whole = f"SELECT * FROM ({trigrams}) WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')"
         counted = spark.sql(
             f"""
-            WITH trigrams AS (SELECT reg, last, block, get(w, i) AS x, get(w, i + 1) AS y, get(w, i + 2) AS z, coalesce(get(w, i + 3), '$') AS n, get(k, i) AS kx, get(k, i + 1) AS ky, get(s, i + 2) AS s
-                              FROM words_{tag} LATERAL VIEW explode(sequence(0, size(w) - 3)) t AS i),
-            places AS (SELECT reg, z, s, n IN ({PARTERS}) AS stop, n = '$' AS over, block, {_PLACES} FROM trigrams WHERE z NOT IN ({PARTERS}) AND NOT (last AND n = '$')),
-            grams AS (SELECT explode({_KEYS}) AS f, over, stop, block, reg FROM places UNION ALL SELECT explode({_LINE_KEYS}), true, true, block, reg FROM (SELECT block, reg, {_LAST} FROM line_ends_{tag} WHERE reg = 'k' AND NOT last))
-            SELECT {hint} f.p, f.w, reg = 'k' AS code, sum(if(stop, 0, 1)) AS on, sum(if(over AND NOT block, 1, 0)) AS line, sum(if(stop AND (block OR NOT over), 1, 0)) AS block
-            FROM grams LEFT SEMI JOIN keys_{tag} k ON f.p = k.p GROUP BY f.p, f.w, reg = 'k'"""
+            WITH places AS (SELECT reg, z, s, n IN ({PARTERS}) AS stop, n = '$' AS over, block, {_PLACES} FROM ({_with_kinds(whole)})),
+            grams AS (SELECT t.p, {_KEY_WORD} AS w, stop, over, block FROM places LATERAL VIEW posexplode({_KEY_HASHES}) t AS at, p),
+            line_ends AS (SELECT block, explode({_hashes(_LINE)}) AS p FROM ({_with_kinds(f"{ends} WHERE reg = 'k' AND NOT last")}))
+            SELECT p, w, count_if(NOT stop) AS on, count_if(over AND NOT block) AS line, count_if(stop AND (block OR NOT over)) AS block
+            FROM (SELECT {hint} g.* FROM grams g LEFT SEMI JOIN keys_{tag} k ON g.p = k.p) GROUP BY p, w
+            UNION ALL
+            SELECT {hint} e.p, '' AS w, 0 AS on, count_if(NOT block) AS line, count_if(block) AS block FROM line_ends e LEFT SEMI JOIN keys_{tag} k ON e.p = k.p GROUP BY e.p"""
         )
         view("counts", materialize(counted, "p8-counts"))
         # of a finished line, a further line goes on and a block ends. Otherwise a longer word goes on wherever it stands, the same word where another one follows
-        longer = "if(c.code, c.w, rtrim(',;:.।॥?!…)”\"\\'', c.w)) <> k.z"
+        longer = "if(k.code, c.w, rtrim(',;:.।॥?!…)”\"\\'', c.w)) <> k.z"
         found = spark.sql(
             f"""
             SELECT k.p, k.z, max(k.texts) AS texts,
